@@ -95,6 +95,13 @@ def year_ends_within(
     return F.when(s.isNotNull() & e.isNotNull(), inside)
 
 
+def shift_months(first_of_month: str | _dt.date, n: int) -> str:
+    """Plain date arithmetic for a first-of-month bound (a parameter)."""
+    d = _dt.date.fromisoformat(str(first_of_month))
+    k = d.year * 12 + d.month - 1 + n
+    return _dt.date(k // 12, k % 12 + 1, 1).isoformat()
+
+
 def month_starts(first: str | _dt.date, last: str | _dt.date) -> Column:
     """Array of first-of-month dates from ``first`` to ``last`` inclusive
     (both given as first-of-month dates)."""

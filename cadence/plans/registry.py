@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from cadence.plans import cohort_queries, oracle_cohort
+from cadence.plans import cohort_queries, oracle_cohort, oracle_series, series_queries
 
 QUERIES = {}
 QUERIES.update(cohort_queries.QUERIES)
+QUERIES.update(series_queries.QUERIES)
 
 ORACLE_SQL = {}
 ORACLE_SQL.update(oracle_cohort.SQL)
+ORACLE_SQL.update(oracle_series.SQL)
 
 _missing = set(ORACLE_SQL) - set(QUERIES)
 assert not _missing, f"oracle without query: {_missing}"
