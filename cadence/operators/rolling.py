@@ -90,8 +90,11 @@ def rolling_sparse(
     observation keep a row (mean NULL, count 0)."""
     contrib = trailing_rows(sparse, first, last, value, months, month, date_col)
     spine = month_spine(spark, first, last, date_col)
+    # Size bound: ``sparse`` has one row per month, so each spine month gets
+    # at most ``months`` + 1 contributions: |contrib| <= (months + 1) x |spine|,
+    # fixed by the parameters, never by the data volume.
     return (
-        spine.join(contrib, date_col, "left")
+        spine.join(F.broadcast(contrib), date_col, "left")
         .groupBy(date_col)
         .agg(
             F.try_divide(F.sum(value).cast("double"), F.count(value)).alias(avg_col),
@@ -123,9 +126,11 @@ def rolling_dense(
     if lead_in:
         start = cal.shift_months(first, -(rows - 1))
     spine = month_spine(spark, start, last, date_col)
-    dense = spine.join(
-        sparse.select(F.col(month).alias(date_col), *columns.values()), date_col, "left"
+    # One row per month, cut to the spine's range: at most |spine| rows.
+    observed = sparse.select(F.col(month).alias(date_col), *columns.values()).where(
+        F.col(date_col).between(cal.lit_date(start), cal.lit_date(last))
     )
+    dense = spine.join(F.broadcast(observed), date_col, "left")
     w = Window.orderBy(date_col).rowsBetween(-(rows - 1), Window.currentRow)
     out: list[Column] = [F.col(date_col)]
     for label, c in columns.items():

@@ -1,0 +1,93 @@
+"""Hand-checked edge cases (FIXTURES.md section 3.2)."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from cadence.operators import growth as gr
+from cadence.operators import rolling as ro
+from cadence.operators import series as se
+
+D = dt.date
+ROWS = [
+    (D(2001, 11, 1), "a", "100"),
+    (D(2001, 11, 1), "b", "200"),
+    (D(2001, 12, 1), "a", "150"),
+    (D(2001, 12, 1), "b", "100"),
+    (D(2002, 1, 1), "a", "0"),
+    (D(2002, 1, 1), "b", "50"),
+    (D(2002, 3, 1), "b", "80"),
+]
+
+
+@pytest.fixture(scope="module")
+def s(spark):
+    df = spark.createDataFrame(ROWS, "sales_month date, kind_of_business string, v string")
+    return df.selectExpr("sales_month", "kind_of_business", "cast(v as decimal(18,2)) as sales")
+
+
+@pytest.fixture(scope="module")
+def pair(s):
+    return se.pivot_categories(s, {"a": "a", "b": "b"}, "month")
+
+
+def _f(x):
+    return None if x is None else float(x)
+
+
+def test_panel(pair):
+    rows = se.panel(pair, "a", "b").orderBy("sales_month").collect()
+    assert [r["sales_month"] for r in rows] == [D(2001, 11, 1), D(2001, 12, 1), D(2002, 1, 1), D(2002, 3, 1)]
+    assert [_f(r["b_a_sales_diff"]) for r in rows] == [100, -50, 50, None]
+    assert [r["b_to_a_sales_ratio"] for r in rows] == [2.0, 0.67, None, None]
+    assert [r["as_12_month_moving_average"] for r in rows] == [100.0, 125.0, 83.33, 83.33]
+    assert [_f(r["total_a_sales_ytd"]) for r in rows] == [100, 250, 0, 0]
+
+
+def test_moving_average_counts(pair):
+    rows = ro.moving_average(pair, {"a": "a_monthly_sales"}).orderBy("sales_month").collect()
+    assert [r["as_record_count"] for r in rows] == [1, 2, 3, 3]
+
+
+def test_growth(pair):
+    b = gr.growth(pair.select("sales_month", "b_monthly_sales"), "b_monthly_sales").orderBy("sales_month").collect()
+    assert [r["previous_month"] for r in b] == [None, D(2001, 11, 1), D(2001, 12, 1), D(2002, 1, 1)]
+    assert [r["pct_growth_from_previous"] for r in b[:3]] == [None, -50.0, -50.0]
+    assert b[3]["pct_growth_from_previous"] == pytest.approx(60.0)
+    a = gr.growth(pair.select("sales_month", "a_monthly_sales"), "a_monthly_sales").orderBy("sales_month").collect()
+    assert [r["pct_growth_from_previous"] for r in a] == [None, 50.0, -100.0, None]
+
+
+def test_yearly_gap(s):
+    wide = se.pivot_categories(s, {"a": "a", "b": "b"}, "year")
+    rows = se.gap(wide, "a_sales", "b_sales", "diff").orderBy("sales_year").collect()
+    assert [(r["sales_year"], _f(r["a_sales"]), _f(r["b_sales"]), _f(r["diff"])) for r in rows] == [
+        (2001, 250, 300, 50),
+        (2002, 0, 130, 130),
+    ]
+
+
+def test_pivot_keeps_all_periods(s):
+    """Without restriction every month stays, NULL where the category is absent."""
+    rows = se.pivot_categories(s, {"a": "a"}, "month", restrict=False).orderBy("sales_month").collect()
+    assert len(rows) == 4 and rows[-1]["a_monthly_sales"] is None
+
+
+def test_sparse_trailing_forms_agree(spark, pair):
+    """Explode form equals the literal range join; lead-in makes the dense
+    window form equal to the range form."""
+    sparse = ro.sparse_months(pair, (11, 1), ["b_monthly_sales"])
+    got = ro.trailing_rows(sparse, "2001-11-01", "2002-12-01", "b_monthly_sales")
+    spine = ro.month_spine(spark, "2001-11-01", "2002-12-01")
+    literal = spine.join(
+        sparse,
+        (sparse.sales_month >= F.add_months(spine.date, -11))
+        & (sparse.sales_month <= spine.date),
+    ).select("date", "sales_month", "b_monthly_sales")
+    assert sorted(got.collect()) == sorted(literal.collect())
+    rng = ro.rolling_sparse(spark, sparse, "2001-11-01", "2002-12-01", "b_monthly_sales", avg_col="m")
+    dense = ro.rolling_dense(spark, sparse, "2001-11-01", "2002-12-01", {"b": "b_monthly_sales"}, lead_in=True)
+    r1 = {r["date"]: (r["m"], r["records"]) for r in rng.collect()}
+    r2 = {r["full_date"]: (r["b_sales_moving_avg"], r["b_records_in_window"]) for r in dense.collect()}
+    assert r1 == r2
