@@ -71,28 +71,50 @@ def lit_date(x: str | _dt.date) -> Column:
     return F.lit(_dt.date.fromisoformat(str(x)))
 
 
-def year_ends_within(
+def _is_year_end(d: Column) -> Column:
+    return (F.month(d) == 12) & (F.dayofmonth(d) == 31)
+
+
+def covered_years(
     start: str | Column,
     end: str | Column,
     spine_from: str | _dt.date | None = None,
     spine_to: str | _dt.date | None = None,
 ) -> Column:
-    """Array of the Dec-31 dates d with start <= d <= end (and inside the
-    optional spine bounds). Empty when none; NULL when start or end is NULL.
-
-    Costs one element per covered year: a row-local map, so the interval
-    join to a calendar becomes an ``explode`` with no nested-loop join.
+    """Array of the years y whose Dec 31 lies in [start, end] (and inside
+    the optional spine bounds). Empty when none; NULL when start or end is
+    NULL.
+
+    Dec 31 of year(start) is never before start, and Dec 31 of year(end)
+    is after end unless end is itself a Dec 31, so the covered years are
+    the integer range year(lo) .. year(hi) - (hi is not Dec 31). Built with
+    ``sequence`` alone (code-generated, no lambda functions): one element
+    per covered year, a row-local replacement for a range join to a day
+    table.
     """
     s, e = _c(start), _c(end)
-    lo, hi = s, e
-    if spine_from is not None:
-        lo = F.greatest(s, lit_date(spine_from))
-    if spine_to is not None:
-        hi = F.least(e, lit_date(spine_to))
-    years = F.sequence(F.year(lo), F.greatest(F.year(hi), F.year(lo)))
-    candidates = F.transform(years, lambda y: F.make_date(y, F.lit(12), F.lit(31)))
-    inside = F.filter(candidates, lambda d: (d >= lo) & (d <= hi))
-    return F.when(s.isNotNull() & e.isNotNull(), inside)
+    lo = F.greatest(s, lit_date(spine_from)) if spine_from is not None else s
+    hi = F.least(e, lit_date(spine_to)) if spine_to is not None else e
+    first = F.year(lo)
+    last = F.year(hi) - F.when(_is_year_end(hi), 0).otherwise(1)
+    empty = F.array().cast("array<int>")
+    return F.when(s.isNotNull() & e.isNotNull(), F.when(first <= last, F.sequence(first, last)).otherwise(empty))
+
+
+def year_end(year: str | Column) -> Column:
+    """Dec 31 of ``year`` (NULL for a NULL year)."""
+    return F.make_date(_c(year), F.lit(12), F.lit(31))
+
+
+def year_ends_within(
+    start: str | Column,
+    end: str | Column,
+    spine_from: str | _dt.date | None = None,
+    spine_to: str | _dt.date | None = None,
+) -> Column:
+    """Array of the Dec-31 dates inside [start, end] (see ``covered_years``)."""
+    years = covered_years(start, end, spine_from, spine_to)
+    return F.transform(years, lambda y: year_end(y))
 
 
 def shift_months(first_of_month: str | _dt.date, n: int) -> str:

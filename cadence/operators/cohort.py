@@ -16,7 +16,7 @@ Plan shape (why it holds at scale)
   how many such rows one entity can have, so no task ever receives an
   unbounded group even if one entity holds a third of all rows.
 * The interval-to-calendar range join is replaced by exploding each
-  interval into the year ends it covers (``year_ends_within``): one row
+  interval into the years whose Dec 31 it covers (``covered_years``): one row
   per covered year instead of a nested-loop join against a day table.
 * ``count(distinct entity)`` runs on data already hash-partitioned by the
   entity, so its de-duplication step needs no extra shuffle; the final
@@ -63,13 +63,15 @@ def first_attribute(
     its earliest row; ties on the date are broken by ``tiebreak`` (a
     unique key), which makes the result deterministic."""
     attr_col = attr_col or f"first_{attribute}"
+    # The smallest (start-is-NULL, start, tiebreak, attribute) struct is the
+    # first row: NULL starts sort last as in PostgreSQL, the unique tiebreak
+    # settles equal starts. One aggregate, combined map-side.
+    first_row = F.min(F.struct(F.col(ts).isNull(), F.col(ts), F.col(tiebreak), F.col(attribute)))
     return (
         history.where(F.col(entity).isNotNull())
         .groupBy(entity)
-        .agg(
-            F.min(ts).alias(first_col),
-            F.min_by(attribute, F.struct(F.col(ts), F.col(tiebreak))).alias(attr_col),
-        )
+        .agg(F.min(ts).alias(first_col), first_row.alias("_first_row"))
+        .select(entity, first_col, F.col("_first_row")[attribute].alias(attr_col))
     )
 
 
@@ -167,10 +169,17 @@ def expand_to_spine(
     terms = history.where(F.col(entity).isNotNull())
     first = terms.groupBy(entity).agg(F.min(start).alias(first_col))
     joined = terms.join(first, entity)
-    ends = cal.year_ends_within(F.col(start), F.col(end), spine_from, spine_to)
-    return joined.select(
-        entity, first_col, start, end, F.explode_outer(ends).alias(date_col)
-    ).withColumn(period_col, cal.completed_units("year", F.col(first_col), F.col(date_col)))
+    years = cal.covered_years(F.col(start), F.col(end), spine_from, spine_to)
+    exploded = joined.select(entity, first_col, start, end, F.explode_outer(years).alias("_y"))
+    d = cal.year_end("_y")
+    return exploded.select(
+        entity,
+        first_col,
+        start,
+        end,
+        d.alias(date_col),
+        cal.completed_units("year", F.col(first_col), d).alias(period_col),
+    )
 
 
 # ---------------------------------------------------------------- R7, R9, R11, R13-R16
@@ -192,24 +201,6 @@ def cohorts(
     return first_attribute(history, entity, start, attribute, tiebreak, first_col, attr_col)
 
 
-def covered_year_ends(
-    history: DataFrame,
-    entity: str,
-    start: str,
-    end: str,
-    spine_from: str | None = None,
-    spine_to: str | None = None,
-    date_col: str = "date",
-) -> DataFrame:
-    """Distinct (entity, year end) pairs covered by the entity's intervals;
-    a NULL date marks an interval that covers no year end."""
-    ends = cal.year_ends_within(F.col(start), F.col(end), spine_from, spine_to)
-    exploded = history.where(F.col(entity).isNotNull()).select(
-        entity, F.explode_outer(ends).alias(date_col)
-    )
-    return exploded.distinct()
-
-
 def interval_retention_counts(
     history: DataFrame,
     entity: str,
@@ -242,28 +233,49 @@ def interval_retention_counts(
     ``tiebreak``) and ``dimension`` (one row per entity, joined on the
     entity key; entities without a dimension row drop out).
     ``cohort_from``/``cohort_to`` restrict cohorts by first start date.
+
+    One scan of the history: every interval is exploded to the years it
+    covers (an interval covering none keeps one NULL-year row) and reduced
+    map-side to one row per (entity, year) carrying the smallest start and
+    first row seen. Every interval lands in some (entity, year) row, so a
+    window over the entity's rows -- at most one per calendar year plus
+    one, however many intervals the entity has -- yields its first start
+    and first attribute without a self-join.
     """
-    coh = cohorts(history, entity, start, first_col, attribute, tiebreak, attr_col)
+    if attribute is not None and tiebreak is None:
+        raise ValueError("a unique tiebreak column is required with an attribute")
+    attr_col = attr_col or (f"first_{attribute}" if attribute else None)
+    h = history.where(F.col(entity).isNotNull())
+    years = cal.covered_years(F.col(start), F.col(end), spine_from, spine_to)
+    carried = [start] + ([tiebreak, attribute] if attribute else [])
+    aggs = [F.min(start).alias("_min_start")]
+    if attribute:
+        aggs.append(
+            F.min(F.struct(F.col(start).isNull(), F.col(start), F.col(tiebreak), F.col(attribute))).alias("_min_row")
+        )
+    per_year = h.select(entity, *carried, F.explode_outer(years).alias("_y")).groupBy(entity, "_y").agg(*aggs)
+    w = Window.partitionBy(entity)
+    cols = [F.col(entity), F.col("_y"), F.min("_min_start").over(w).alias(first_col)]
+    if attribute:
+        cols.append(F.min("_min_row").over(w)[attribute].alias(attr_col))
+    timeline = per_year.select(*cols)
     if cohort_from is not None or cohort_to is not None:
-        lo = cal.lit_date(cohort_from) if cohort_from else None
-        hi = cal.lit_date(cohort_to) if cohort_to else None
         cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col(first_col) >= lo)
-        if hi is not None:
-            cond = cond & (F.col(first_col) <= hi)
-        coh = coh.where(cond)
+        if cohort_from is not None:
+            cond = cond & (F.col(first_col) >= cal.lit_date(cohort_from))
+        if cohort_to is not None:
+            cond = cond & (F.col(first_col) <= cal.lit_date(cohort_to))
+        timeline = timeline.where(cond)
     for name, expr in (derived or {}).items():
-        coh = coh.withColumn(name, expr)
+        timeline = timeline.withColumn(name, expr)
     if dimension is not None:
         dim = dimension.select(entity, *dimension_cols).where(F.col(entity).isNotNull())
-        coh = coh.join(dim, entity)
-    covered = covered_year_ends(history, entity, start, end, spine_from, spine_to)
-    timeline = covered.join(coh, entity).select(
-        entity,
-        *by,
-        F.coalesce(
-            cal.completed_units("year", F.col(first_col), F.col("date")), F.lit(0).cast("bigint")
-        ).alias(period_col),
+        timeline = timeline.join(dim, entity)
+    period = F.coalesce(
+        cal.completed_units("year", F.col(first_col), cal.year_end("_y")), F.lit(0).cast("bigint")
+    )
+    return (
+        timeline.select(entity, *by, period.alias(period_col))
+        .groupBy(*by, period_col)
+        .agg(F.countDistinct(entity).alias(count_col))
     )
-    return timeline.groupBy(*by, period_col).agg(F.countDistinct(entity).alias(count_col))

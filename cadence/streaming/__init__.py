@@ -1,0 +1,9 @@
+"""Streaming operators: none.
+
+The analyses this library re-expresses contain no streaming operator,
+watermark, event-time window or stateful rule; their "rolling" windows
+are batch window frames and range joins over whole histories (first
+events, lags and trailing windows need complete data). Every operator is
+therefore a batch DataFrame function. A micro-batch job can still apply
+any of them to a table that a stream keeps appending to.
+"""
