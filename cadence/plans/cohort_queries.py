@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cadence.functions import calendar as cal
 from cadence.operators import cohort as co
@@ -45,6 +44,16 @@ def retention_events_week(spark: SparkSession, d: str) -> DataFrame:
     return co.retention_counts(ev, "entity_id", "event_date", "week", count_col="retained", ordered=True)
 
 
+def retention_generic_month(spark: SparkSession, d: str) -> DataFrame:
+    ev = src.order_events(spark, d)
+    return co.retention_counts(ev, "entity_id", "event_date", "month", count_col="retained", ordered=True)
+
+
+def retention_events_day(spark: SparkSession, d: str) -> DataFrame:
+    ev = src.user_events(spark, d)
+    return co.retention_counts(ev, "entity_id", "event_date", "day", count_col="retained", ordered=True)
+
+
 def retention_pivot(spark: SparkSession, d: str) -> DataFrame:
     return co.retention_pivot(retention_curve(spark, d), A.PIVOT_PERIODS)
 
@@ -140,6 +149,8 @@ QUERIES = {
     "retention_curve": retention_curve,
     "retention_generic": retention_generic,
     "retention_events_week": retention_events_week,
+    "retention_generic_month": retention_generic_month,
+    "retention_events_day": retention_events_day,
     "retention_pivot": retention_pivot,
     "interval_spine": interval_spine,
     "interval_retention_counts": interval_retention_counts,

@@ -87,6 +87,16 @@ RETENTION_EVENTS_WEEK = _generic(
     "CAST((e.event_date - c.first_event) // 7 AS BIGINT)",
 )
 
+RETENTION_GENERIC_MONTH = _generic(
+    "SELECT o_custkey AS entity_id, CAST(o_orderdate AS DATE) AS event_date FROM orders",
+    f"{years('e.event_date', 'c.first_event')} * 12 + "
+    "date_part('month', age(CAST(e.event_date AS TIMESTAMP), CAST(c.first_event AS TIMESTAMP)))",
+)
+RETENTION_EVENTS_DAY = _generic(
+    "SELECT user_id AS entity_id, CAST(ts AS DATE) AS event_date FROM events",
+    "CAST(e.event_date - c.first_event AS BIGINT)",
+)
+
 _PIVOT_CELLS = ",\n       ".join(
     f"max(CASE WHEN period = {p} THEN pct_retained END) AS yr_{p}" for p in A.PIVOT_PERIODS
 )
@@ -149,6 +159,8 @@ SQL = {
     "retention_curve": RETENTION_CURVE,
     "retention_generic": RETENTION_GENERIC,
     "retention_events_week": RETENTION_EVENTS_WEEK,
+    "retention_generic_month": RETENTION_GENERIC_MONTH,
+    "retention_events_day": RETENTION_EVENTS_DAY,
     "retention_pivot": RETENTION_PIVOT,
     "interval_spine": INTERVAL_SPINE,
     "interval_retention_counts": INTERVAL_COUNTS,
