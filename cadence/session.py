@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.ansi.enabled": "true",
+    # Python call-site capture for error messages: costs Python stack
+    # inspection on every Column operation; off in production runs.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
