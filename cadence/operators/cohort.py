@@ -23,6 +23,9 @@ Plan shape (why it holds at scale)
   count per (cohort, period) is again partially aggregated.
 * Windows that compute cohort sizes run on the per-(cohort, period)
   result, whose size is bounded by cohorts x periods, not by the data.
+* The one operator that must keep every history row (R6) joins the
+  per-entity first date back with ``skew.split_join``, which spreads an
+  entity with very many rows over several tasks.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions import calendar as cal
 from cadence.functions import numeric as num
+from cadence.operators import skew
 
 
 def _asc(c: str) -> Column:
@@ -156,19 +160,19 @@ def expand_to_spine(
     first_col: str = "first_term",
     date_col: str = "date",
     period_col: str = "period",
+    rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
     """Every interval joined to its first-event date and expanded to
     each year end inside [start, end] (and inside the spine bounds). An
     interval covering no year end yields one row with NULL date and period.
 
-    The output has one row per covered year, so the join keeps all rows of
-    an entity; it is a shuffle join on the entity key that AQE's skew-join
-    handling can split when one entity is very large (the other side has a
-    single row per entity).
+    The output keeps every interval row, so the per-entity first date is
+    joined back to the rows; entities with more than ``rows_per_task``
+    intervals are split across tasks (``skew.split_join``).
     """
     terms = history.where(F.col(entity).isNotNull())
-    first = terms.groupBy(entity).agg(F.min(start).alias(first_col))
-    joined = terms.join(first, entity)
+    first = terms.groupBy(entity).agg(F.min(start).alias(first_col), F.count(F.lit(1)).alias("_n"))
+    joined = skew.split_join(terms.select(entity, start, end), first, entity, "_n", rows_per_task)
     years = cal.covered_years(F.col(start), F.col(end), spine_from, spine_to)
     exploded = joined.select(entity, first_col, start, end, F.explode_outer(years).alias("_y"))
     d = cal.year_end("_y")
