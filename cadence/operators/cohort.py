@@ -166,15 +166,27 @@ def expand_to_spine(
     each year end inside [start, end] (and inside the spine bounds). An
     interval covering no year end yields one row with NULL date and period.
 
-    The output keeps every interval row, so the per-entity first date is
-    joined back to the rows; entities with more than ``rows_per_task``
-    intervals are split across tasks (``skew.split_join``).
+    The output keeps every interval row (duplicates included), so the
+    per-entity first date has to reach every row. Identical intervals are
+    first collapsed map-side into one row with a multiplicity, the distinct
+    intervals are joined to the first dates with ``skew.split_join`` (an
+    entity with more than ``rows_per_task`` distinct intervals is spread
+    over several tasks), and the multiplicity is restored at the end by a
+    narrow explode.
     """
-    terms = history.where(F.col(entity).isNotNull())
-    first = terms.groupBy(entity).agg(F.min(start).alias(first_col), F.count(F.lit(1)).alias("_n"))
-    joined = skew.split_join(terms.select(entity, start, end), first, entity, "_n", rows_per_task)
+    distinct_terms = (
+        history.where(F.col(entity).isNotNull())
+        .groupBy(entity, start, end)
+        .agg(F.count(F.lit(1)).alias("_mult"))
+    )
+    first = distinct_terms.groupBy(entity).agg(
+        F.min(start).alias(first_col), F.count(F.lit(1)).alias("_n")
+    )
+    joined = skew.split_join(distinct_terms, first, entity, "_n", rows_per_task)
     years = cal.covered_years(F.col(start), F.col(end), spine_from, spine_to)
-    exploded = joined.select(entity, first_col, start, end, F.explode_outer(years).alias("_y"))
+    exploded = joined.select(
+        entity, first_col, start, end, "_mult", F.explode_outer(years).alias("_y")
+    ).select(entity, first_col, start, end, "_y", F.explode(F.sequence(F.lit(1), F.col("_mult"))))
     d = cal.year_end("_y")
     return exploded.select(
         entity,

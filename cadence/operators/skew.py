@@ -18,6 +18,10 @@ module splits such keys explicitly:
 * the per-key row is replicated once per bucket, and the join runs on
   (key, bucket): a hot key's rows spread over its buckets' tasks.
 
+Identical rows hash to the same bucket, so callers pass distinct rows
+(collapsing duplicates map-side into a multiplicity column beforehand,
+as ``cohort.expand_to_spine`` does) and restore copies afterwards.
+
 Nothing is dropped or sampled; the result equals the plain equi-join.
 """
 

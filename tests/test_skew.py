@@ -79,6 +79,17 @@ def test_interval_spine_splits_hot_entity(spark, skew_conf):
     assert len(per_task) > 1
 
 
+def test_interval_spine_with_duplicate_heavy_hot_entity(spark, skew_conf):
+    """A hot entity made of thousands of identical intervals: collapsed to
+    one distinct row with a multiplicity before the shuffle, every copy
+    restored in the output."""
+    rows = [(7, D(1999, 3, 1), D(2001, 3, 1))] * 4000 + [(8, D(2000, 1, 1), D(2000, 6, 1))]
+    h = spark.createDataFrame(rows, "id long, s date, e date")
+    out = co.expand_to_spine(h, "id", "s", "e", rows_per_task=500)
+    got = {(r["id"], r["date"]): r["n"] for r in out.groupBy("id", "date").count().withColumnRenamed("count", "n").collect()}
+    assert got == {(7, D(1999, 12, 31)): 4000, (7, D(2000, 12, 31)): 4000, (8, None): 1}
+
+
 def test_series_join_is_split_by_aqe(spark, skew_conf):
     """Many rows per key joined to one row per key, both plain shuffle
     inputs (the shape of orders x customer): AQE splits the hot key."""
