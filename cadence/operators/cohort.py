@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions import calendar as cal
 from cadence.functions import numeric as num
+from cadence.functions.ordering import order_small
 from cadence.operators import skew
 
 
@@ -101,7 +102,7 @@ def retention_counts(
         entity, cal.completed_units(unit, first, F.col(ts)).alias(period_col)
     )
     out = timeline.groupBy(period_col).agg(F.countDistinct(entity).alias(count_col))
-    return out.orderBy(_asc(period_col)) if ordered else out
+    return order_small(out, period_col) if ordered else out
 
 
 # ---------------------------------------------------------------- R3, R8, R10

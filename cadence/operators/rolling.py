@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions import calendar as cal
 from cadence.functions import numeric as num
+from cadence.functions.ordering import order_small
 
 MONTH = "sales_month"
 
@@ -139,7 +140,7 @@ def rolling_dense(
     res = dense.select(*out)
     if lead_in:
         res = res.where(F.col(date_col) >= cal.lit_date(first))
-    return res.orderBy(date_col)
+    return order_small(res, date_col)
 
 
 # ---------------------------------------------------------------- X15-X17

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions import calendar as cal
 from cadence.functions import numeric as num
+from cadence.functions.ordering import order_small
 
 MONTH, CAT, VALUE = "sales_month", "kind_of_business", "sales"
 
@@ -60,7 +61,7 @@ def rollup(
     key, key_name = _period_key(period, month)
     keys = [key] + ([F.col(cat)] if by_category else [])
     out = src.groupBy(*keys).agg(F.sum(value).cast(num.MONEY).alias(value_col))
-    return out.orderBy(F.asc_nulls_last(key_name)) if ordered else out
+    return order_small(out, key_name) if ordered else out
 
 
 # ---------------------------------------------------------------- X5, X6, X18

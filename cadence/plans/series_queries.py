@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cadence.functions.ordering import order_small
 from cadence.operators import growth as gr
 from cadence.operators import rolling as ro
 from cadence.operators import series as se
@@ -54,7 +55,7 @@ def compare_categories(spark, d):
 
 
 def pivot_monthly(spark, d):
-    return _pair(spark, d).orderBy("sales_month")
+    return order_small(_pair(spark, d), "sales_month")
 
 
 def pivot_yearly(spark, d):
@@ -120,7 +121,7 @@ def ytd_max(spark, d):
 
 
 def pivot_single(spark, d):
-    return _single(spark, d).orderBy("sales_month")
+    return order_small(_single(spark, d), "sales_month")
 
 
 def prev_month(spark, d):
