@@ -30,6 +30,25 @@ def money(x: str | Column) -> Column:
     return _c(x).cast(MONEY)
 
 
+def cents(x: str | Column) -> Column:
+    """Amount in whole cents as bigint, equal to the unscaled value of
+    ``cast(x as decimal(18,2))``.
+
+    ``round(x, 2)`` on a double rounds the shortest decimal form of ``x``
+    half up, as the decimal cast does; multiplying that 2-digit value by
+    100 lands within an ulp of an integer, which the outer ``round``
+    recovers exactly (|x| < 9e13). Summing bigints avoids the decimal(28,2)
+    buffer of a decimal sum (arbitrary-precision arithmetic per row); an
+    overflow raises under ANSI mode instead of wrapping.
+    """
+    return F.round(F.round(_c(x), 2) * 100).cast("bigint")
+
+
+def from_cents(x: str | Column) -> Column:
+    """Whole cents back to decimal(18,2) (exact)."""
+    return (_c(x).cast("decimal(38,0)") / 100).cast(MONEY)
+
+
 def div(num: str | Column, den: str | Column, integral: bool = False) -> Column:
     """Exact decimal quotient; NULL when the divisor is zero or NULL."""
     n_t, d_t = (_INT_NUM, _INT_DEN) if integral else (_NUM, _DEN)

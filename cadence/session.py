@@ -44,6 +44,35 @@ def build_session(
     return spark
 
 
+def cluster_conf(
+    input_bytes: int,
+    split_bytes: int = 256 << 20,
+    shuffle_partition_bytes: int = 128 << 20,
+    shuffle_fraction: float = 0.25,
+) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume.
+
+    * Scan splits of ``split_bytes`` (Parquet row groups are the unit).
+    * The initial shuffle partition count is sized so that the expected
+      shuffle volume (``shuffle_fraction`` of the input: column pruning
+      keeps 2-4 columns, partial aggregation shrinks most exchanges) lands
+      near ``shuffle_partition_bytes`` per partition. Each partition then
+      fits executor memory with room to spare. AQE coalesces partitions
+      that come out small and splits skewed join partitions.
+    """
+    expected_shuffle = max(1, int(input_bytes * shuffle_fraction))
+    partitions = min(200_000, max(200, expected_shuffle // shuffle_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * shuffle_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.enabled": "true",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory named by the cluster.
 

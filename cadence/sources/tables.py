@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadence.functions.numeric import MONEY, money
+from cadence.functions.numeric import cents, from_cents
 
 # Physical schemas of the driver tables that the operators read.
 SCHEMAS: dict[str, T.StructType] = {
@@ -110,8 +110,9 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly sales per market segment: one row per (month, category).
 
-    Amounts are cast to decimal(18,2) before summing so sums are exact and
-    independent of the order partial sums are combined in.
+    Amounts are summed exactly in whole cents (``numeric.cents``, equal to
+    casting to decimal(18,2) first), so sums do not depend on the order
+    partial sums are combined in.
 
     Plan: orders join customers on the key, then aggregate to (month,
     segment) with map-side partial aggregation, so only the small result
@@ -129,7 +130,7 @@ def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     amounts = orders.select(
         F.col("o_custkey").alias("custkey"),
         F.trunc(as_date("o_orderdate"), "month").alias("sales_month"),
-        money("o_totalprice").alias("amount"),
+        cents("o_totalprice").alias("amount"),
     )
     segments = customer.select(
         F.col("c_custkey").alias("custkey"), F.col("c_mktsegment").alias("kind_of_business")
@@ -137,5 +138,5 @@ def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         amounts.join(segments, "custkey")
         .groupBy("sales_month", "kind_of_business")
-        .agg(F.sum("amount").cast(MONEY).alias("sales"))
+        .agg(from_cents(F.sum("amount")).alias("sales"))
     )

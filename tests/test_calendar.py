@@ -80,3 +80,29 @@ def test_decimal_average_rounding(spark):
         F.col("v").cast("decimal(18,2)").alias("v")
     )
     assert df.agg(num.round_money(F.avg("v")).alias("m")).first()["m"] == 9311362.33
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.integers(min_value=-10**11, max_value=10**11), st.integers(min_value=0, max_value=4)),
+        min_size=50,
+        max_size=200,
+    )
+)
+def test_cents_equal_decimal_cast(spark, pairs):
+    """Whole cents from a double equal the unscaled decimal(18,2) cast,
+    including half-cent ties such as 1.005 and 2.675."""
+    values = [n / 10**k for n, k in pairs] + [1.005, 2.675, -0.125, 0.29, 1013.7, 499978.59]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    rows = df.select(
+        num.cents("x").alias("c"),
+        (F.col("x").cast("decimal(18,2)") * 100).cast("bigint").alias("d"),
+        num.from_cents(num.cents("x")).alias("back"),
+        F.col("x").cast("decimal(18,2)").alias("dec"),
+    ).collect()
+    assert all(r["c"] == r["d"] and r["back"] == r["dec"] for r in rows)
