@@ -3,8 +3,9 @@
 * ``completed_units``  whole years / months / weeks / days from a to b, the
   ``date_part(unit, age(b, a))`` of PostgreSQL for years and months.
 * ``century``          PostgreSQL's ``date_part('century', d)`` (AD dates).
-* ``year_ends_within`` Dec-31 dates inside [start, end] (optionally clipped
-  to a spine), the per-row replacement for a range join to a day table.
+* ``covered_years``    years whose Dec 31 lies inside [start, end] (optionally
+  clipped to a spine): the per-row replacement for a range join to a day
+  table (``year_ends_within`` gives the dates themselves).
 * ``month_starts``     calendar-month spine between two bounds.
 * ``padded_month_name`` ``to_char(d, 'Month')``: English name blank-padded
   to nine characters.

@@ -25,11 +25,6 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def money(x: str | Column) -> Column:
-    """Amount as decimal(18,2) (exact cents)."""
-    return _c(x).cast(MONEY)
-
-
 def cents(x: str | Column) -> Column:
     """Amount in whole cents as bigint, equal to the unscaled value of
     ``cast(x as decimal(18,2))``.

@@ -200,24 +200,6 @@ def expand_to_spine(
 
 
 # ---------------------------------------------------------------- R7, R9, R11, R13-R16
-def cohorts(
-    history: DataFrame,
-    entity: str,
-    start: str,
-    first_col: str = "first_term",
-    attribute: str | None = None,
-    tiebreak: str | None = None,
-    attr_col: str | None = None,
-) -> DataFrame:
-    """One row per entity: first start date and optionally the attribute of
-    its first interval (ties broken by ``tiebreak``)."""
-    if attribute is None:
-        return first_event(history, entity, start, first_col, ordered=False)
-    if tiebreak is None:
-        raise ValueError("a unique tiebreak column is required with an attribute")
-    return first_attribute(history, entity, start, attribute, tiebreak, first_col, attr_col)
-
-
 def interval_retention_counts(
     history: DataFrame,
     entity: str,
