@@ -91,3 +91,41 @@ def test_sparse_trailing_forms_agree(spark, pair):
     r1 = {r["date"]: (r["m"], r["records"]) for r in rng.collect()}
     r2 = {r["full_date"]: (r["b_sales_moving_avg"], r["b_records_in_window"]) for r in dense.collect()}
     assert r1 == r2
+
+
+def test_null_category_forms_its_own_group_and_never_pivots(spark):
+    rows = [(D(2001, 1, 1), None, "5"), (D(2001, 1, 1), "a", "7"), (D(2001, 2, 1), None, "3")]
+    s = spark.createDataFrame(rows, "sales_month date, kind_of_business string, v string").selectExpr(
+        "sales_month", "kind_of_business", "cast(v as decimal(18,2)) as sales"
+    )
+    by_cat = {r["kind_of_business"]: _f(r["sales"]) for r in se.rollup(s, "year", by_category=True).collect()}
+    assert by_cat == {None: 8.0, "a": 7.0}
+    wide = se.pivot_categories(s, {"a": "a"}, "month", restrict=False).orderBy("sales_month").collect()
+    assert [_f(r["a_monthly_sales"]) for r in wide] == [7.0, None]
+
+
+def test_zero_base_gives_null_not_error(spark):
+    """A zero base (or zero divisor) yields NULL: PostgreSQL would raise,
+    DuckDB would return infinity; NULL keeps every other row usable."""
+    rows = [(D(2001, 1, 1), "a", "0"), (D(2001, 1, 1), "b", "10"), (D(2002, 1, 1), "a", "5"), (D(2002, 1, 1), "b", "20")]
+    s = spark.createDataFrame(rows, "sales_month date, kind_of_business string, v string").selectExpr(
+        "sales_month", "kind_of_business", "cast(v as decimal(18,2)) as sales"
+    )
+    pair = se.pivot_categories(s, {"a": "a", "b": "b"}, "month")
+    out = se.index_to_base(pair, "a", "b").orderBy("sales_year").collect()
+    assert [r["pct_from_a_index"] for r in out] == [None, None]
+    assert [r["pct_from_b_index"] for r in out] == [0.0, 100.0]
+    assert [r["yearly_b_to_a_sales_ratio"] for r in out] == [None, 4.0]
+
+
+def test_sparse_range_and_dense_window_differ_only_at_the_start(spark):
+    """As coded, the dense form cuts the look-back at the spine start: it
+    differs from the range form only in the first months (SURVEY 2.15.1)."""
+    import __spark_entry__ as entry
+
+    rng = entry.queries()["rolling_sparse_range"](spark, "/root/testdata/sf0.01")
+    dense = entry.queries()["rolling_sparse_window"](spark, "/root/testdata/sf0.01")
+    r1 = {r["date"]: (r["women_sales_moving_avg"], r["records"]) for r in rng.collect()}
+    r2 = {r["full_date"]: (r["women_sales_moving_avg"], r["women_records_in_window"]) for r in dense.collect()}
+    differing = sorted(d for d in r1 if r1[d] != r2[d])
+    assert differing and all(d < D(1996, 7, 1) for d in differing)
