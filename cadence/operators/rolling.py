@@ -33,6 +33,12 @@ def _avg_double(c: Column, w: Window) -> Column:
 
 
 # ---------------------------------------------------------------- X11
+def month_index(month: str | Column) -> Column:
+    """Months since year 0 (a dense integer per calendar month)."""
+    c = F.col(month) if isinstance(month, str) else month
+    return F.year(c) * 12 + F.month(c)
+
+
 def moving_average(
     wide: DataFrame,
     columns: Mapping[str, str],
@@ -40,10 +46,22 @@ def moving_average(
     month: str = MONTH,
     avg_fmt: str = "{label}s_{rows}_month_moving_average",
     count_fmt: str = "{label}s_record_count",
+    frame: str = "rows",
 ) -> DataFrame:
     """X11: trailing ``rows``-row mean (rounded to 2) and the count of
-    non-NULL values in the frame, per ``label -> column``."""
-    w = Window.orderBy(month).rowsBetween(-(rows - 1), Window.currentRow)
+    non-NULL values in the frame, per ``label -> column``.
+
+    ``frame="rows"`` counts rows, as the analyses do: right only on a
+    gap-free monthly series. ``frame="months"`` ranges over a month index
+    instead, so the window is the current and ``rows - 1`` previous
+    calendar months whatever is missing -- a join-free alternative to
+    densifying the series first."""
+    if frame == "rows":
+        w = Window.orderBy(month).rowsBetween(-(rows - 1), Window.currentRow)
+    elif frame == "months":
+        w = Window.orderBy(month_index(month)).rangeBetween(-(rows - 1), Window.currentRow)
+    else:
+        raise ValueError("frame must be 'rows' or 'months'")
     out: list[Column] = [F.col(month)]
     for label, c in columns.items():
         out.append(num.round_money(F.avg(c).over(w)).alias(avg_fmt.format(label=label, rows=rows)))

@@ -1,6 +1,7 @@
 """Hand-checked edge cases (FIXTURES.md section 3.2)."""
 
 import datetime as dt
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,3 +130,25 @@ def test_sparse_range_and_dense_window_differ_only_at_the_start(spark):
     r2 = {r["full_date"]: (r["women_sales_moving_avg"], r["women_records_in_window"]) for r in dense.collect()}
     differing = sorted(d for d in r1 if r1[d] != r2[d])
     assert differing and all(d < D(1996, 7, 1) for d in differing)
+
+
+def test_month_frame_equals_range_join_on_a_gappy_series(spark):
+    """frame='months' over a series with gaps equals the trailing-months
+    range-join form at every observed month."""
+    rows = [(D(2001, m, 1), "b", str(10 * m)) for m in (1, 2, 5, 9, 12)] + [
+        (D(2002, m, 1), "b", str(7 * m)) for m in (1, 4, 11)
+    ]
+    s = spark.createDataFrame(rows, "sales_month date, kind_of_business string, v string").selectExpr(
+        "sales_month", "kind_of_business", "cast(v as decimal(18,2)) as sales"
+    )
+    wide = se.pivot_categories(s, {"b": "b"}, "month")
+    by_months = ro.moving_average(wide, {"b": "b_monthly_sales"}, frame="months", count_fmt="{label}_n")
+    rng = ro.rolling_sparse(spark, wide, "2001-01-01", "2002-12-01", "b_monthly_sales", avg_col="m")
+    def half_up(x):
+        return None if x is None else float(Decimal(repr(x)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+    want = {r["date"]: (half_up(r["m"]), r["records"]) for r in rng.collect()}
+    for r in by_months.collect():
+        assert (r["bs_12_month_moving_average"], r["b_n"]) == want[r["sales_month"]]
+    rows_frame = {r["sales_month"]: r["b_n"] for r in ro.moving_average(wide, {"b": "b_monthly_sales"}, count_fmt="{label}_n").collect()}
+    assert rows_frame[D(2002, 11, 1)] == 8  # eight rows back reach 2001-01: rows, not months
