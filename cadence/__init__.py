@@ -6,13 +6,15 @@ whole plan runs distributed and is optimised by Catalyst/AQE.
 
 Sub-packages
 ------------
-sources    explicit-schema Parquet readers and adapters onto canonical shapes
-functions  column-expression helpers (calendar arithmetic, exact rounding)
-operators  cohort, series, rolling and growth operators
+sources    explicit-schema readers: the driver's tables (with adapters onto the
+           canonical shapes) and the canonical tables themselves
+functions  column-expression helpers (calendar arithmetic, exact rounding,
+           ordering) and the same helpers as Spark SQL functions
+operators  cohort, series, rolling and growth operators; hot-key splitting
 plans      view registration, plan inspection, the registered query set
-streaming  incremental (micro-batch) feed of the cohort counts
+streaming  intentionally empty: the analyses have no streaming operator
 """
 
-from cadence.session import build_session, ensure_checkpoint_dir
+from cadence.session import build_session, cluster_conf, ensure_checkpoint_dir
 
-__all__ = ["build_session", "ensure_checkpoint_dir"]
+__all__ = ["build_session", "cluster_conf", "ensure_checkpoint_dir"]
