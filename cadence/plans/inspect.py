@@ -74,6 +74,33 @@ def report(spark, sf_dir: str) -> str:
     return "\n".join(lines) + "\n"
 
 
+HEADLINE = ("retention_sparse_multi", "interval_spine", "panel")
+
+
+def large_input_trees(spark, sf_dir: str, names=HEADLINE) -> str:
+    """Physical plan trees with broadcast joins disabled: the shape the
+    same queries take when no join side is small enough to broadcast."""
+    import __spark_entry__ as entry
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        out = ["", "## Large-input plans (broadcast joins disabled)", ""]
+        for name in names:
+            tree = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().treeString()
+            tree = re.sub(r"Location: InMemoryFileIndex\(1 paths\)\[[^\]]*\], ", "", tree)
+            out += [f"### `{name}`", "", "```", tree.rstrip(), "```", ""]
+        return "\n".join(out)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 if __name__ == "__main__":
     import os
 
@@ -83,4 +110,5 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     session = build_session("local[8]", 8)
     sys.stdout.write(report(session, sf))
+    sys.stdout.write(large_input_trees(session, sf))
     session.stop()
