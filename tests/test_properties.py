@@ -178,3 +178,54 @@ def test_first_state_retention_matches_brute_force(spark, raw):
     got = co.interval_retention_counts(df, "e", "s", "t", by=["first_state"], attribute="state", tiebreak="k")
     got = {(r["first_state"], r["period"]): r["cohort_retained"] for r in got.collect()}
     assert got == _brute_force_first_state_retention(terms)
+
+
+def _completed_months(a, b):
+    return (b.year - a.year) * 12 + b.month - a.month - (1 if b.day < a.day else 0)
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.integers(0, 8), st.dates(min_value=dt.date(1995, 1, 1), max_value=dt.date(2003, 12, 31))),
+        min_size=1,
+        max_size=80,
+    ),
+    st.sampled_from(["year", "month", "week", "day"]),
+)
+def test_event_retention_matches_brute_force(spark, events, unit):
+    first = {}
+    for e, d in events:
+        first[e] = min(first.get(e, d), d)
+    unit_of = {
+        "year": _completed_years,
+        "month": _completed_months,
+        "week": lambda a, b: (b - a).days // 7,
+        "day": lambda a, b: (b - a).days,
+    }[unit]
+    cells = {}
+    for e, d in events:
+        cells.setdefault(unit_of(first[e], d), set()).add(e)
+    want = {p: len(v) for p, v in cells.items()}
+    df = spark.createDataFrame(events, "e long, d date")
+    got = {r["period"]: r["cohort_retained"] for r in co.retention_counts(df, "e", "d", unit).collect()}
+    assert got == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(_term, min_size=1, max_size=40), st.integers(1, 5))
+def test_spine_expansion_matches_brute_force(spark, raw, rows_per_task):
+    terms = [(e, s, s + dt.timedelta(days=n)) for e, s, n, _ in raw]
+    terms = terms + terms[: len(terms) // 3]  # duplicate intervals must all survive
+    first = {}
+    for e, s, _ in terms:
+        first[e] = min(first.get(e, s), s)
+    want = []
+    for e, s, t in terms:
+        ends = [dt.date(y, 12, 31) for y in range(s.year, t.year + 1) if s <= dt.date(y, 12, 31) <= t]
+        for d in ends or [None]:
+            want.append((e, first[e], s, t, d, None if d is None else _completed_years(first[e], d)))
+    df = spark.createDataFrame(terms, "e long, s date, t date")
+    got = co.expand_to_spine(df, "e", "s", "t", rows_per_task=rows_per_task).collect()
+    key = lambda r: tuple("" if x is None else str(x) for x in r)
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
