@@ -106,3 +106,33 @@ def test_cents_equal_decimal_cast(spark, pairs):
         F.col("x").cast("decimal(18,2)").alias("dec"),
     ).collect()
     assert all(r["c"] == r["d"] and r["back"] == r["dec"] for r in rows)
+
+
+from decimal import ROUND_HALF_UP, Decimal, getcontext  # noqa: E402
+
+_money = st.integers(min_value=-(10**16) + 1, max_value=10**16 - 1).map(lambda c: Decimal(c).scaleb(-2))
+
+
+def _q(x: Decimal, digits: int) -> float:
+    return float(x.quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(_money, _money), min_size=20, max_size=80))
+def test_exact_ratio_rounding_matches_decimal(spark, pairs):
+    """round(n/d, 2), round((n/d - 1) * 100, 2) and round(n*100/d, 2) equal
+    exact decimal arithmetic with half-up rounding, for amounts up to 1e14."""
+    getcontext().prec = 60
+    pairs = [(n, d) for n, d in pairs if d != 0]
+    df = spark.createDataFrame([(str(n), str(d)) for n, d in pairs], "n string, d string").selectExpr(
+        "cast(n as decimal(18,2)) n", "cast(d as decimal(18,2)) d"
+    )
+    rows = df.select(
+        num.round_div("n", "d", 2).alias("r"),
+        num.round_pct_change("n", "d", 2).alias("p"),
+        num.round_share("n", "d", 2).alias("s"),
+    ).collect()
+    for (n, d), r in zip(pairs, rows):
+        assert r["r"] == _q(n / d, 2)
+        assert r["p"] == _q((n - d) * 100 / d, 2)
+        assert r["s"] == _q(n * 100 / d, 2)
