@@ -152,3 +152,48 @@ def test_month_frame_equals_range_join_on_a_gappy_series(spark):
         assert (r["bs_12_month_moving_average"], r["b_n"]) == want[r["sales_month"]]
     rows_frame = {r["sales_month"]: r["b_n"] for r in ro.moving_average(wide, {"b": "b_monthly_sales"}, count_fmt="{label}_n").collect()}
     assert rows_frame[D(2002, 11, 1)] == 8  # eight rows back reach 2001-01: rows, not months
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+def _half_up(x, digits=2):
+    return None if x is None else float(x.quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.dictionaries(
+        st.tuples(st.integers(1995, 2001), st.integers(1, 12)),
+        st.integers(1, 10**9).map(lambda c: Decimal(c).scaleb(-2)),
+        min_size=1,
+        max_size=60,
+    )
+)
+def test_growth_family_matches_brute_force(spark, series):
+    """Previous present row, same calendar month's previous present row,
+    and the mean of up to three previous same-month values, on a monthly
+    series with arbitrary gaps."""
+    months = sorted(series)
+    rows = [(D(y, m, 1), "x", str(series[(y, m)])) for y, m in months]
+    s = spark.createDataFrame(rows, "sales_month date, kind_of_business string, v string").selectExpr(
+        "sales_month", "kind_of_business", "cast(v as decimal(18,2)) as sales"
+    )
+    wide = se.pivot_categories(s, {"x": "x"}, "month")
+    col = "x_monthly_sales"
+    mom = {r["sales_month"]: r for r in gr.growth(wide, col).collect()}
+    yoy = {r["sales_month"]: r for r in gr.same_period_last_year(wide, col).collect()}
+    p3 = {r["sales_month"]: r["p"] for r in gr.pct_of_prior_mean(wide, col, 3, "p").collect()}
+    for i, (y, m) in enumerate(months):
+        d, v = D(y, m, 1), series[(y, m)]
+        prev = series[months[i - 1]] if i else None
+        want_g = None if prev is None else (float(v) / float(prev) - 1) * 100
+        assert mom[d]["pct_growth_from_previous"] == want_g
+        same = [k for k in months[:i] if k[1] == m]
+        last = series[same[-1]] if same else None
+        assert yoy[d]["prev_years_month_sales"] == last
+        assert yoy[d]["pct_diff"] == (None if last is None else _half_up((v - last) * 100 / last))
+        window = [series[k] for k in same[-3:]]
+        want_p = None if not window else float(v) * 100 * len(window) / float(sum(window))
+        assert p3[d] == want_p
