@@ -197,3 +197,45 @@ def test_growth_family_matches_brute_force(spark, series):
         window = [series[k] for k in same[-3:]]
         want_p = None if not window else float(v) * 100 * len(window) / float(sum(window))
         assert p3[d] == want_p
+
+
+def _month_add(d, n):
+    k = d.year * 12 + d.month - 1 + n
+    return D(k // 12, k % 12 + 1, 1)
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.dictionaries(
+        st.tuples(st.integers(1996, 1999), st.integers(1, 12)),
+        st.integers(0, 10**8).map(lambda c: Decimal(c).scaleb(-2)),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_rolling_family_matches_brute_force(spark, series):
+    months = sorted(series)
+    rows = [(D(y, m, 1), "x", str(series[(y, m)])) for y, m in months]
+    s = spark.createDataFrame(rows, "sales_month date, kind_of_business string, v string").selectExpr(
+        "sales_month", "kind_of_business", "cast(v as decimal(18,2)) as sales"
+    )
+    wide = se.pivot_categories(s, {"x": "x"}, "month")
+    col = "x_monthly_sales"
+    first, last = "1996-06-01", "1999-06-01"
+    spine = [_month_add(D(1996, 6, 1), i) for i in range(37)]
+    obs = {D(y, m, 1): v for (y, m), v in series.items()}
+    # trailing rows and the range-join rolling mean
+    got_rows = sorted(tuple(r) for r in ro.trailing_rows(wide, first, last, col).collect())
+    want_rows = sorted((d, m, v) for d in spine for m, v in obs.items() if _month_add(d, -11) <= m <= d)
+    assert got_rows == want_rows
+    rng = {r["date"]: (r["m"], r["records"]) for r in ro.rolling_sparse(spark, wide, first, last, col, avg_col="m").collect()}
+    for d in spine:
+        vals = [v for m, v in obs.items() if _month_add(d, -11) <= m <= d]
+        assert rng[d] == ((float(sum(vals)) / len(vals)) if vals else None, len(vals))
+    # 12-row moving average over present rows, rounded half up
+    mav = {r["sales_month"]: (r["xs_12_month_moving_average"], r["xs_record_count"])
+           for r in ro.moving_average(wide, {"x": col}).collect()}
+    ordered = sorted(obs)
+    for i, d in enumerate(ordered):
+        win = [obs[k] for k in ordered[max(0, i - 11): i + 1]]
+        assert mav[d] == (_half_up(sum(win) / len(win)), len(win))
