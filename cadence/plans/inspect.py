@@ -94,6 +94,9 @@ def large_input_trees(spark, sf_dir: str, names=HEADLINE) -> str:
             "",
             "Remaining broadcasts are the explicit ones with proven bounds (spine",
             "contributions, one observed row per spine month, the hot-key table).",
+            "Counts are from the initial plan. In `interval_spine` the distinct-interval",
+            "aggregate feeds three branches; at run time AQE reuses its shuffle",
+            "(`ReusedExchange`), and the executed plan reads the history once.",
             "",
             "| query | scans | hash shuffles | single-partition shuffles | broadcasts | sort-merge joins |",
             "|---|---|---|---|---|---|",
