@@ -78,28 +78,21 @@ def pivot_categories(
     """One row per period, one column per category
     (``label -> category``) holding the category's total.
 
-    With ``restrict`` the rows are first filtered to the listed categories
-    (the filter reaches the scan); without it every period of the series is
-    kept and a period lacking a category gets NULL, the conditional-sum
-    form over all rows.
+    Each cell is a conditional sum, ``sum(case when category = c then
+    value end)``: one aggregate, combined map-side (Spark's ``pivot`` would
+    add a second aggregation layer for the same result). With ``restrict``
+    the rows are first filtered to the listed categories (the filter
+    reaches the scan); without it every period of the series is kept and a
+    period lacking a category gets NULL.
     """
     suffix = suffix if suffix is not None else ("_monthly_sales" if period == "month" else "_sales")
-    key, key_name = _period_key(period, month)
-    if restrict:
-        values = list(labels.values())
-        wide = (
-            series.where(F.col(cat).isin(values))
-            .groupBy(key)
-            .pivot(cat, values)
-            .agg(F.sum(value))
-        )
-        cols = [F.col(f"`{c}`").cast(num.MONEY).alias(f"{lab}{suffix}") for lab, c in labels.items()]
-        return wide.select(key_name, *cols)
+    key, _ = _period_key(period, month)
+    src = series.where(F.col(cat).isin(list(labels.values()))) if restrict else series
     cells = [
         F.sum(F.when(F.col(cat) == c, F.col(value))).cast(num.MONEY).alias(f"{lab}{suffix}")
         for lab, c in labels.items()
     ]
-    return series.groupBy(key).agg(*cells)
+    return src.groupBy(key).agg(*cells)
 
 
 # ---------------------------------------------------------------- X7
