@@ -71,7 +71,7 @@ def spark_result(df):
 
 def spark_type_to_duck(t: str) -> str:
     if t.startswith("decimal"):
-        return t.upper().replace("DECIMAL", "DECIMAL")
+        return t.upper()
     return _SPARK_TO_DUCK.get(t, t.upper())
 
 
