@@ -11,10 +11,11 @@ Plan shape (why it holds at scale)
 ----------------------------------
 * First events are a ``groupBy(entity).agg(min)``: partial aggregation
   combines map-side, so a hot entity costs one row per map task.
-* Before any per-entity step the history is reduced to distinct
-  ``(entity, date)`` rows (again map-side combined). The calendar bounds
-  how many such rows one entity can have, so no task ever receives an
-  unbounded group even if one entity holds a third of all rows.
+* Before any per-entity step the history is reduced, map-side combined,
+  to distinct ``(entity, date)`` rows (R2/R4) or to one row per
+  ``(entity, covered year)`` (R7-R16). The calendar bounds how many such
+  rows one entity can have, so no task ever receives an unbounded group
+  even if one entity holds a third of all rows.
 * The interval-to-calendar range join is replaced by exploding each
   interval into the years whose Dec 31 it covers (``covered_years``): one row
   per covered year instead of a nested-loop join against a day table.
