@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, langid, mixing, packing, topk, toxicity, url_filter
+from . import fingerprint, html_extract, langid, line_dedup, mixing, packing, topk, toxicity, url_filter
 from .common import table
 
 # Rules of the URL contract.
@@ -31,6 +31,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract_pages(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     hosts = spark.createDataFrame([(h,) for h in SPAM_HOSTS], "host string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -42,6 +47,12 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned = line_dedup.remove_repeated(docs)
+    return cleaned.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), "removed_lines")
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_check(table(spark, sf_dir, "documents"))
 
@@ -125,8 +136,10 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 QUERIES = {
+    "op1_html_extract": op1_html_extract,
     "op2_url_filter": op2_url_filter,
     "op3_topk": op3_topk,
+    "op4_line_dedup": op4_line_dedup,
     "op5_fingerprints": op5_fingerprints,
     "op6_toxicity": op6_toxicity,
     "op7_langid": op7_langid,
