@@ -20,7 +20,6 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
-from .common import col, fresh, written
+from .common import col, fresh, worker_state, written
 from .url_filter import host_of
 
 # Elements of HTML and words that name parts of a page.
@@ -302,9 +301,17 @@ def article_nodes(wrapper: Node) -> list[Node]:
         node = best
 
 
-@lru_cache(maxsize=512)
 def prepared(packed: str) -> tuple[Node, dict[int, bool]]:
-    """A wrapper and, by element, whether its own text belongs to the article."""
+    """A wrapper and, by element, whether its own text belongs to the article; remembered for some wrappers."""
+    made = worker_state().setdefault("wrappers", {})
+    if packed not in made:
+        if len(made) >= 512:
+            made.clear()
+        made[packed] = _prepare(packed)
+    return made[packed]
+
+
+def _prepare(packed: str) -> tuple[Node, dict[int, bool]]:
     wrapper = Node.unpack(json.loads(packed))
     tops = article_nodes(wrapper)
     named = any(t.label.split(".")[0] in ("article", "main") for t in tops)
