@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html_extract, langid, line_dedup, mixing, packing, topk, toxicity, url_filter
+from . import fingerprint, html_extract, langid, line_dedup, mixing, near_dup, packing, topk, toxicity, url_filter
 from .common import table
 
 # Rules of the URL contract.
@@ -88,6 +88,11 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", part.alias("held_out"), "lang_pred", "score")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dup.link(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "copies", "extra")
@@ -143,6 +148,7 @@ QUERIES = {
     "op5_fingerprints": op5_fingerprints,
     "op6_toxicity": op6_toxicity,
     "op7_langid": op7_langid,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
 }
