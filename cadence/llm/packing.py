@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from .common import col, worker_state, written
+from .common import Shared, col, worker_state, written
 
 # Bounds of one worker's caches and of one batch of output ids.
 CACHED_WORDS = 600_000
@@ -175,23 +175,23 @@ def pack(
     tokens = tokenize(docs, path, end_id, doc_id, text)
     # One row per partition of the scan: as many as the driver schedules anyway.
     totals = tokens.groupBy("part").agg(F.sum("doc_tokens").alias("n")).orderBy("part").collect()
-    base, offsets = 0, []
+    base, offsets = 0, {}
     for r in totals:
-        offsets.append((r["part"], base))
+        offsets[r["part"]] = base
         base += r["n"]
-    offsets = spark.createDataFrame(offsets, "part_ int, base long")
-    placed = tokens.join(offsets, tokens["part"] == offsets["part_"]).select(
-        "doc_id", (F.col("base") + F.col("place")).alias("at"), "doc_tokens", "ids"
-    )
+    sent = Shared(spark, offsets)
+    placed = tokens.select("doc_id", "part", "place", "doc_tokens", "ids")
     id_field = StructField("doc_id", docs.schema[doc_id].dataType)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        offsets = sent.get()
         for batch in batches:
             rows: list[tuple] = []
             source: list[int] = []
             held = 0
-            for i, (at, n, raw) in enumerate(zip(batch["at"].to_pylist(), batch["doc_tokens"].to_pylist(), batch["ids"])):
-                raw = raw.as_buffer()
+            parts, places, counts = (batch[c].to_pylist() for c in ("part", "place", "doc_tokens"))
+            for i, (part, place, n, raw) in enumerate(zip(parts, places, counts, batch["ids"])):
+                at, raw = offsets[part] + place, raw.as_buffer()
                 wide = np.frombuffer(raw, dtype="<u2" if raw.size == 2 * n else "<u4").astype("<u4").tobytes()
                 start = 0
                 while start < n:
