@@ -15,6 +15,6 @@ plans      view registration, plan inspection, the registered query set
 streaming  intentionally empty: the analyses have no streaming operator
 """
 
-from cadence.session import build_session, cluster_conf, ensure_checkpoint_dir
+from cadence.session import build_session, cluster_conf
 
-__all__ = ["build_session", "cluster_conf", "ensure_checkpoint_dir"]
+__all__ = ["build_session", "cluster_conf"]

@@ -29,13 +29,24 @@ def _md(d: Column) -> Column:
     return F.month(d) * 100 + F.dayofmonth(d)
 
 
-def _forward_units(unit: str, a: Column, b: Column) -> Column:
+def _time_of_day(d: Column) -> Column:
+    """Microseconds since midnight of a timestamp."""
+    return F.unix_micros(d.cast("timestamp")) - F.unix_micros(F.to_date(d).cast("timestamp"))
+
+
+def _forward_units(unit: str, a: Column, b: Column, timed: bool) -> Column:
     """Completed units from a to b, assuming a <= b."""
+
+    def short(x: Column, y: Column) -> Column:
+        """1 where the last unit is not reached yet: by x and y, or on a tie by the time of day."""
+        tie = (x == y) & (_time_of_day(b) < _time_of_day(a)) if timed else F.lit(False)
+        return F.when((x < y) | tie, 1).otherwise(0)
+
     if unit == "year":
-        return F.year(b) - F.year(a) - F.when(_md(b) < _md(a), 1).otherwise(0)
+        return F.year(b) - F.year(a) - short(_md(b), _md(a))
     if unit == "month":
         months = (F.year(b) - F.year(a)) * 12 + F.month(b) - F.month(a)
-        return months - F.when(F.dayofmonth(b) < F.dayofmonth(a), 1).otherwise(0)
+        return months - short(F.dayofmonth(b), F.dayofmonth(a))
     if unit == "week":
         return F.floor(F.datediff(b, a) / F.lit(7))
     if unit == "day":
@@ -43,15 +54,17 @@ def _forward_units(unit: str, a: Column, b: Column) -> Column:
     raise ValueError(f"unit must be one of {UNITS}, got {unit!r}")
 
 
-def completed_units(unit: str, start: str | Column, end: str | Column) -> Column:
+def completed_units(unit: str, start: str | Column, end: str | Column, timed: bool = False) -> Column:
     """Whole ``unit``s elapsed from ``start`` to ``end`` (bigint).
 
     Years and months follow calendar fields with borrowing, so 1996-02-29
     to 1997-02-28 is 0 years and to 2000-02-29 is 4 years. A negative span
     is the negated forward span (truncation toward zero). NULL in, NULL out.
+    With ``timed`` (timestamps) a year or month is completed only when the
+    time of day is reached too; weeks and days always count dates.
     """
     a, b = _c(start), _c(end)
-    forward = F.when(a <= b, _forward_units(unit, a, b)).otherwise(-_forward_units(unit, b, a))
+    forward = F.when(a <= b, _forward_units(unit, a, b, timed)).otherwise(-_forward_units(unit, b, a, timed))
     return forward.cast("bigint")
 
 

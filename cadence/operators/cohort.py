@@ -41,6 +41,9 @@ from cadence.functions import numeric as num
 from cadence.functions.ordering import order_small
 from cadence.operators import skew
 
+# Copies of one interval that one row stands for, at most.
+COPIES_PER_CHUNK = 1 << 16
+
 
 def _asc(c: str) -> Column:
     # PostgreSQL (and DuckDB) sort NULLs last ascending; Spark first.
@@ -51,8 +54,9 @@ def _asc(c: str) -> Column:
 def first_event(
     history: DataFrame, entity: str, ts: str, first_col: str = "first_term", ordered: bool = True
 ) -> DataFrame:
-    """Earliest ``ts`` per entity: ``(entity, first_col)``."""
-    out = history.where(F.col(entity).isNotNull()).groupBy(entity).agg(F.min(ts).alias(first_col))
+    """Earliest ``ts`` per entity: ``(entity, first_col)``. Rows without
+    an entity form a group of their own."""
+    out = history.groupBy(entity).agg(F.min(ts).alias(first_col))
     return out.orderBy(_asc(first_col), _asc(entity)) if ordered else out
 
 
@@ -74,8 +78,7 @@ def first_attribute(
     # settles equal starts. One aggregate, combined map-side.
     first_row = F.min(F.struct(F.col(ts).isNull(), F.col(ts), F.col(tiebreak), F.col(attribute)))
     return (
-        history.where(F.col(entity).isNotNull())
-        .groupBy(entity)
+        history.groupBy(entity)
         .agg(F.min(ts).alias(first_col), first_row.alias("_first_row"))
         .select(entity, first_col, F.col("_first_row")[attribute].alias(attr_col))
     )
@@ -92,16 +95,32 @@ def retention_counts(
     ordered: bool = False,
 ) -> DataFrame:
     """Distinct entities per completed ``unit``s since their first
-    event: ``(period, count)``. A NULL event date forms a NULL period."""
+    event: ``(period, count)``. A NULL event date forms a NULL period.
+
+    For a timestamp column years and months also need the time of day to be
+    reached; weeks and days count dates. Its history is reduced to one row per
+    (entity, date) with the earliest and latest time: between two times of one
+    date at most one year or month is completed, so these two decide all
+    periods of that date."""
     if unit not in cal.UNITS:
         raise ValueError(f"unit must be one of {cal.UNITS}")
     dated = history.where(F.col(entity).isNotNull()).select(entity, ts)
-    # Distinct (entity, date): bounded rows per entity before the window.
-    distinct_days = dated.distinct()
-    first = F.min(ts).over(Window.partitionBy(entity))
-    timeline = distinct_days.select(
-        entity, cal.completed_units(unit, first, F.col(ts)).alias(period_col)
-    )
+    timed = dated.schema[ts].dataType.typeName().startswith("timestamp")
+    w = Window.partitionBy(entity)
+    if timed and unit in ("year", "month"):
+        days = dated.groupBy(entity, F.to_date(ts).alias("_day")).agg(
+            F.min(ts).alias("_lo"), F.max(ts).alias("_hi")
+        )
+        first = F.min("_lo").over(w)
+        both = F.array(*[cal.completed_units(unit, first, F.col(c), timed=True) for c in ("_lo", "_hi")])
+        timeline = days.select(entity, both.alias("_both")).select(
+            entity, F.explode(F.array_distinct("_both")).alias(period_col)
+        )
+    else:
+        # Distinct (entity, date): bounded rows per entity before the window.
+        days = dated.select(entity, F.to_date(ts).alias(ts) if timed else F.col(ts)).distinct()
+        first = F.min(ts).over(w)
+        timeline = days.select(entity, cal.completed_units(unit, first, F.col(ts)).alias(period_col))
     out = timeline.groupBy(period_col).agg(F.countDistinct(entity).alias(count_col))
     return order_small(out, period_col) if ordered else out
 
@@ -170,10 +189,11 @@ def expand_to_spine(
 
     The output keeps every interval row (duplicates included), so the
     per-entity first date has to reach every row. Identical intervals are
-    first collapsed map-side into one row with a multiplicity, the distinct
-    intervals are joined to the first dates with ``skew.split_join`` (an
-    entity with more than ``rows_per_task`` distinct intervals is spread
-    over several tasks), and the multiplicity is restored at the end by a
+    first collapsed map-side into one row with a multiplicity, which is cut
+    into chunks of at most ``COPIES_PER_CHUNK`` copies. The chunks are joined
+    to the first dates with ``skew.split_join`` (an entity with more than
+    ``rows_per_task`` rows is spread over several tasks, one much repeated
+    interval included), and each chunk's copies are restored at the end by a
     narrow explode.
     """
     distinct_terms = (
@@ -181,10 +201,14 @@ def expand_to_spine(
         .groupBy(entity, start, end)
         .agg(F.count(F.lit(1)).alias("_mult"))
     )
-    first = distinct_terms.groupBy(entity).agg(
-        F.min(start).alias(first_col), F.count(F.lit(1)).alias("_n")
-    )
-    joined = skew.split_join(distinct_terms, first, entity, "_n", rows_per_task)
+    first = distinct_terms.groupBy(entity).agg(F.min(start).alias(first_col), F.sum("_mult").alias("_n"))
+    # Copies travel as chunks of bounded size, which the join deals over tasks.
+    chunk = min(COPIES_PER_CHUNK, rows_per_task)
+    last = F.expr(f"(_mult - 1) div {chunk}")
+    chunks = distinct_terms.select(
+        entity, start, end, "_mult", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_chunk")
+    ).withColumn("_mult", F.least(F.lit(chunk).cast("long"), F.col("_mult") - F.col("_chunk") * chunk))
+    joined = skew.split_join(chunks, first, entity, "_n", rows_per_task)
     years = cal.covered_years(F.col(start), F.col(end), spine_from, spine_to)
     exploded = joined.select(
         entity, first_col, start, end, "_mult", F.explode_outer(years).alias("_y")

@@ -20,7 +20,7 @@ MONTH = "sales_month"
 
 
 def _same_month(month: str) -> Window:
-    return Window.partitionBy(F.month(month)).orderBy(month)
+    return Window.partitionBy(F.month(month)).orderBy(F.asc_nulls_last(month))
 
 
 # ---------------------------------------------------------------- X19
@@ -32,7 +32,7 @@ def lag_period(
     prev_value_col: str = "prev_month_sales",
 ) -> DataFrame:
     """Previous row's period and value (ordered by period)."""
-    w = Window.orderBy(period)
+    w = Window.orderBy(F.asc_nulls_last(period))
     return wide.select(
         period, value, F.lag(period).over(w).alias(prev_period_col), F.lag(value).over(w).alias(prev_value_col)
     )
@@ -51,7 +51,7 @@ def growth(
     """Previous period, previous value and percent growth
     ``(value / previous - 1) * 100`` (rounded to ``digits`` or unrounded
     double). The previous period is the previous *present* row."""
-    w = Window.orderBy(period)
+    w = Window.orderBy(F.asc_nulls_last(period))
     prev = F.lag(value).over(w)
     if digits is None:
         pct = (num.double_ratio(value, prev) - 1) * 100

@@ -57,14 +57,14 @@ def moving_average(
     calendar months whatever is missing -- a join-free alternative to
     densifying the series first."""
     if frame == "rows":
-        w = Window.orderBy(month).rowsBetween(-(rows - 1), Window.currentRow)
+        w = Window.orderBy(F.asc_nulls_last(month)).rowsBetween(-(rows - 1), Window.currentRow)
     elif frame == "months":
-        w = Window.orderBy(month_index(month)).rangeBetween(-(rows - 1), Window.currentRow)
+        w = Window.orderBy(month_index(month).asc_nulls_last()).rangeBetween(-(rows - 1), Window.currentRow)
     else:
         raise ValueError("frame must be 'rows' or 'months'")
     out: list[Column] = [F.col(month)]
     for label, c in columns.items():
-        out.append(num.round_money(F.avg(c).over(w)).alias(avg_fmt.format(label=label, rows=rows)))
+        out.append(num.round_div(F.sum(c).over(w), F.count(c).over(w), 2).alias(avg_fmt.format(label=label, rows=rows)))
         out.append(F.count(c).over(w).alias(count_fmt.format(label=label, rows=rows)))
     return wide.select(*out)
 
@@ -84,10 +84,15 @@ def trailing_rows(
     month: str = MONTH,
     date_col: str = "date",
 ) -> DataFrame:
-    """For each spine month d in [first, last], every observed month m
-    with d - ``months`` months <= m <= d: rows (d, m, value)."""
-    exploded = sparse.select(
-        F.explode(cal.months_after(month, months)).alias(date_col), month, value
+    """For each spine month d in [first, last], every observed date m
+    with d - ``months`` months <= m <= d: rows (d, m, value). Spine months are
+    first-of-month dates, so m contributes to those from its own month start
+    (the next one unless m is it) up to ``months`` months after that start."""
+    own = F.trunc(month, "month")
+    start = F.when(own == F.col(month), own).otherwise(F.add_months(own, 1))
+    ends = F.sequence(start, F.add_months(own, months), F.expr("interval 1 month"))
+    exploded = sparse.where(F.add_months(own, months) >= start).select(
+        F.explode(ends).alias(date_col), month, value
     )
     return exploded.where(F.col(date_col).between(cal.lit_date(first), cal.lit_date(last)))
 
@@ -107,17 +112,19 @@ def rolling_sparse(
     """One row per spine month with the mean and count of observed
     values in the trailing ``months`` + 1 months; months with no
     observation keep a row (mean NULL, count 0)."""
-    contrib = trailing_rows(sparse, first, last, value, months, month, date_col)
-    spine = month_spine(spark, first, last, date_col)
-    # Size bound: ``sparse`` has one row per month, so each spine month gets
-    # at most ``months`` + 1 contributions: |contrib| <= (months + 1) x |spine|,
-    # fixed by the parameters, never by the data volume.
-    return (
-        spine.join(F.broadcast(contrib), date_col, "left")
+    # Aggregated first: one row per spine month at most, however many rows ``sparse`` has.
+    per_date = (
+        trailing_rows(sparse, first, last, value, months, month, date_col)
         .groupBy(date_col)
-        .agg(
-            F.try_divide(F.sum(value).cast("double"), F.count(value)).alias(avg_col),
-            F.count(value).alias(count_col),
+        .agg(F.sum(value).cast("double").alias("_sum"), F.count(value).alias("_count"))
+    )
+    return (
+        month_spine(spark, first, last, date_col)
+        .join(per_date, date_col, "left")
+        .select(
+            date_col,
+            F.try_divide("_sum", F.col("_count")).alias(avg_col),
+            F.coalesce("_count", F.lit(0)).alias(count_col),
         )
     )
 
@@ -145,12 +152,11 @@ def rolling_dense(
     if lead_in:
         start = cal.shift_months(first, -(rows - 1))
     spine = month_spine(spark, start, last, date_col)
-    # One row per month, cut to the spine's range: at most |spine| rows.
     observed = sparse.select(F.col(month).alias(date_col), *columns.values()).where(
         F.col(date_col).between(cal.lit_date(start), cal.lit_date(last))
     )
-    dense = spine.join(F.broadcast(observed), date_col, "left")
-    w = Window.orderBy(date_col).rowsBetween(-(rows - 1), Window.currentRow)
+    dense = spine.join(observed, date_col, "left")
+    w = Window.orderBy(F.asc_nulls_last(date_col)).rowsBetween(-(rows - 1), Window.currentRow)
     out: list[Column] = [F.col(date_col)]
     for label, c in columns.items():
         out.append(_avg_double(F.col(c), w).alias(avg_fmt.format(label=label)))
@@ -171,7 +177,7 @@ def ytd(
 ) -> DataFrame:
     """Running sum / mean (rounded 2) / max within each calendar
     year, ordered by month."""
-    w = Window.partitionBy(cal.year_of(month)).orderBy(month)
+    w = Window.partitionBy(cal.year_of(month)).orderBy(F.asc_nulls_last(month))
     fmts = {
         "sum": "total_{label}_sales_ytd",
         "avg": "avg_{label}_sales_ytd",
@@ -185,7 +191,7 @@ def ytd(
         if how == "sum":
             e = F.sum(c).over(w).cast(num.MONEY)
         elif how == "avg":
-            e = num.round_money(F.avg(c).over(w))
+            e = num.round_div(F.sum(c).over(w), F.count(c).over(w), 2)
         else:
             e = F.max(c).over(w)
         out.append(e.alias(fmt.format(label=label)))

@@ -61,6 +61,8 @@ def rollup(
     key, key_name = _period_key(period, month)
     keys = [key] + ([F.col(cat)] if by_category else [])
     out = src.groupBy(*keys).agg(F.sum(value).cast(num.MONEY).alias(value_col))
+    if ordered and by_category and categories is None:
+        return out.orderBy(F.asc_nulls_last(key_name), F.asc_nulls_last(cat))  # as many rows as categories: distributed
     return order_small(out, key_name) if ordered else out
 
 
@@ -113,8 +115,8 @@ def panel(pair: DataFrame, a: str, b: str, month: str = MONTH, window_rows: int
     am, bm = F.col(f"{a}_monthly_sales"), F.col(f"{b}_monthly_sales")
     year = cal.year_of(month)
     by_year = Window.partitionBy(year)
-    ytd = Window.partitionBy(year).orderBy(month)
-    trailing = Window.orderBy(month).rowsBetween(-(window_rows - 1), Window.currentRow)
+    ytd = Window.partitionBy(year).orderBy(F.asc_nulls_last(month))
+    trailing = Window.orderBy(F.asc_nulls_last(month)).rowsBetween(-(window_rows - 1), Window.currentRow)
     a_year, b_year = F.sum(am).over(by_year), F.sum(bm).over(by_year)
     return pair.select(
         month,
@@ -129,8 +131,8 @@ def panel(pair: DataFrame, a: str, b: str, month: str = MONTH, window_rows: int
         num.round_share(bm, b_year, 2).alias(f"{b}_pctage_of_yearly_sales"),
         F.sum(am).over(ytd).cast(num.MONEY).alias(f"total_{a}_sales_ytd"),
         F.sum(bm).over(ytd).cast(num.MONEY).alias(f"total_{b}_sales_ytd"),
-        num.round_money(F.avg(am).over(trailing)).alias(f"{a}s_{window_rows}_month_moving_average"),
-        num.round_money(F.avg(bm).over(trailing)).alias(f"{b}s_{window_rows}_month_moving_average"),
+        num.round_div(F.sum(am).over(trailing), F.count(am).over(trailing), 2).alias(f"{a}s_{window_rows}_month_moving_average"),
+        num.round_div(F.sum(bm).over(trailing), F.count(bm).over(trailing), 2).alias(f"{b}s_{window_rows}_month_moving_average"),
     )
 
 

@@ -17,10 +17,6 @@ LABEL_A = "men"
 LABEL_B = "women"
 LABEL_SINGLE = "bookstore"
 
-# Calendar spine for interval retention (daily date dimension bounds).
-SPINE_FROM = "1995-01-01"
-SPINE_TO = "2004-12-31"
-
 # Cohort restriction by first start date.
 COHORT_FROM = "1995-02-01"
 COHORT_TO = "1999-12-31"

@@ -17,9 +17,7 @@ def _terms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _interval(spark: SparkSession, d: str, **kw) -> DataFrame:
-    return co.interval_retention_counts(
-        _terms(spark, d), E, S, END, spine_from=A.SPINE_FROM, spine_to=A.SPINE_TO, **kw
-    )
+    return co.interval_retention_counts(_terms(spark, d), E, S, END, **kw)
 
 
 def first_event(spark: SparkSession, d: str) -> DataFrame:
@@ -49,6 +47,12 @@ def retention_generic_month(spark: SparkSession, d: str) -> DataFrame:
     return co.retention_counts(ev, "entity_id", "event_date", "month", count_col="retained", ordered=True)
 
 
+def retention_events_month(spark: SparkSession, d: str) -> DataFrame:
+    """Months completed to the time of day, on raw timestamps."""
+    ev = src.read_table(spark, d, "events").select("user_id", "ts")
+    return co.retention_counts(ev, "user_id", "ts", "month", count_col="retained", ordered=True)
+
+
 def retention_events_day(spark: SparkSession, d: str) -> DataFrame:
     ev = src.user_events(spark, d)
     return co.retention_counts(ev, "entity_id", "event_date", "day", count_col="retained", ordered=True)
@@ -59,7 +63,7 @@ def retention_pivot(spark: SparkSession, d: str) -> DataFrame:
 
 
 def interval_spine(spark: SparkSession, d: str) -> DataFrame:
-    return co.expand_to_spine(_terms(spark, d), E, S, END, A.SPINE_FROM, A.SPINE_TO)
+    return co.expand_to_spine(_terms(spark, d), E, S, END)
 
 
 def interval_retention_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -150,6 +154,7 @@ QUERIES = {
     "retention_generic": retention_generic,
     "retention_events_week": retention_events_week,
     "retention_generic_month": retention_generic_month,
+    "retention_events_month": retention_events_month,
     "retention_events_day": retention_events_day,
     "retention_pivot": retention_pivot,
     "interval_spine": interval_spine,

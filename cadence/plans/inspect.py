@@ -53,7 +53,7 @@ def summarize(df: DataFrame) -> dict:
 
 
 def report(spark, sf_dir: str) -> str:
-    import __spark_entry__ as entry
+    from cadence.plans.registry import QUERIES
 
     lines = [
         "# Physical plans of the registered queries",
@@ -65,7 +65,7 @@ def report(spark, sf_dir: str) -> str:
         "| query | shuffles / joins / aggregates | scans (columns read) | pushed filters |",
         "|---|---|---|---|",
     ]
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         s = summarize(fn(spark, sf_dir))
         nodes = ", ".join(f"{k} x{v}" for k, v in s["nodes"].items())
         scans = "; ".join(x.removeprefix("struct<").removesuffix(">") for x in s["read_schemas"])
@@ -81,7 +81,7 @@ def large_input_trees(spark, sf_dir: str, names=HEADLINE) -> str:
     """Plans with broadcast joins disabled: the shape the same queries take
     when no join side is small enough to broadcast. A per-query summary,
     then full trees of the headline queries."""
-    import __spark_entry__ as entry
+    from cadence.plans.registry import QUERIES
 
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k, None) for k in keys}
@@ -101,7 +101,7 @@ def large_input_trees(spark, sf_dir: str, names=HEADLINE) -> str:
             "| query | scans | hash shuffles | single-partition shuffles | broadcasts | sort-merge joins |",
             "|---|---|---|---|---|---|",
         ]
-        for name, fn in entry.queries().items():
+        for name, fn in QUERIES.items():
             n = summarize(fn(spark, sf_dir))["nodes"]
             out.append(
                 f"| `{name}` | {n.get('FileScan parquet', 0)} | {n.get('Exchange hashpartitioning', 0)} | "
@@ -109,7 +109,7 @@ def large_input_trees(spark, sf_dir: str, names=HEADLINE) -> str:
             )
         out.append("")
         for name in names:
-            tree = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().treeString()
+            tree = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().treeString()
             tree = re.sub(r"Location: InMemoryFileIndex\(1 paths\)\[[^\]]*\], ", "", tree)
             out += [f"### `{name}`", "", "```", tree.rstrip(), "```", ""]
         return "\n".join(out)

@@ -1,220 +1,144 @@
-"""DuckDB oracle SQL for the cohort queries.
+"""DuckDB oracle SQL for the cohort queries, from the operators' definitions.
 
-Written the way the analyses are stated: a self-join of the first-start
-subquery to the history, a literal range join to a generated daily
-date dimension filtered to December 31, ``age()`` for completed years.
-Rounded ratios use exact integer rounding (half away from zero), since
-DuckDB rounds on doubles.
+The shapes differ from the Spark plans on purpose: an entity's first row is
+the one numbered 1, covered year ends are a range join to generated Dec 31
+dates (from the data's own first start to its last end), cohort sizes are
+keyed joins to the smallest period. Completed years and months come from
+``age()``; rounded ratios use exact integer rounding, half away from zero.
 """
 
 from cadence.plans import analogs as A
 
+HISTORY = """history AS (
+    SELECT o_custkey AS id, CAST(o_orderdate AS DATE) AS begins,
+           CAST(o_orderdate AS DATE) + 730 AS ends, o_orderpriority AS label, o_orderkey AS tie
+    FROM orders),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY begins, tie) AS place FROM history),
+opening AS (
+    SELECT id, begins AS opened, label AS opening_label FROM numbered WHERE place = 1)"""
 
-def iround(n: str, d: str, k: int) -> str:
-    """round(n / d, k) for integers n >= 0, d > 0, as DOUBLE."""
-    p = 10**k
-    return f"(CAST((2 * CAST({n} AS HUGEINT) * {p} + ({d})) // (2 * ({d})) AS DOUBLE) / {p})"
-
-
-TERMS = """terms AS (
-    SELECT o_custkey AS id_bioguide,
-           CAST(o_orderdate AS DATE) AS term_start,
-           CAST(o_orderdate AS DATE) + 730 AS term_end,
-           o_orderpriority AS state,
-           o_orderkey AS term_id
-    FROM orders)"""
-
-DATE_DIM = f"""date_dim AS (
-    SELECT CAST(range AS DATE) AS date,
-           monthname(range) AS month_name,
-           CAST(dayofmonth(range) AS INTEGER) AS day_of_month
-    FROM range(TIMESTAMP '{A.SPINE_FROM}', TIMESTAMP '{A.SPINE_TO}' + INTERVAL 1 DAY, INTERVAL 1 DAY))"""
-
-LEGISLATORS = """legislators AS (
-    SELECT c_custkey AS id_bioguide, c_mktsegment AS gender FROM customer)"""
+YEAR_ENDS = """year_ends AS (
+    SELECT make_date(y, 12, 31) AS closing
+    FROM (SELECT unnest(range(lo, hi + 1)) AS y
+          FROM (SELECT min(year(begins)) AS lo, max(year(ends)) AS hi FROM history)))"""
 
 
-def years(later: str, earlier: str) -> str:
+def whole_years(later: str, earlier: str) -> str:
     return f"date_part('year', age(CAST({later} AS TIMESTAMP), CAST({earlier} AS TIMESTAMP)))"
 
 
-FIRST = "(SELECT id_bioguide, min(term_start) AS first_term FROM terms GROUP BY 1)"
-FIRST_STATE = """(SELECT DISTINCT id_bioguide,
-            min(term_start) OVER (PARTITION BY id_bioguide) AS first_term,
-            first_value(state) OVER (PARTITION BY id_bioguide ORDER BY term_start, term_id) AS first_state
-        FROM terms)"""
-YEAR_END_JOIN = """LEFT JOIN date_dim dd ON dd.date BETWEEN b.term_start AND b.term_end
-        AND dd.month_name = 'December' AND dd.day_of_month = 31"""
-
-RETENTION_COUNTS = f"""WITH {TERMS}
-SELECT {years('tsa.term_start', 'a.first_term')} AS period,
-       count(DISTINCT a.id_bioguide) AS cohort_retained
-FROM {FIRST} a
-JOIN terms tsa ON a.id_bioguide = tsa.id_bioguide
-GROUP BY 1"""
-
-RETENTION_CURVE = f"""WITH {TERMS},
-cohort_and_time_series AS (
-    SELECT {years('tsa.term_start', 'a.first_term')} AS period,
-           count(DISTINCT a.id_bioguide) AS cohort_retained
-    FROM {FIRST} a
-    JOIN terms tsa ON a.id_bioguide = tsa.id_bioguide
-    GROUP BY 1)
-SELECT period,
-       first_value(cohort_retained) OVER (ORDER BY period) AS cohort_size,
-       cohort_retained,
-       {iround('cohort_retained', 'first_value(cohort_retained) OVER (ORDER BY period)', 2)} AS pct_retained
-FROM cohort_and_time_series"""
-
-
-def _generic(source: str, period_expr: str) -> str:
-    return f"""WITH events AS ({source}),
-cohort AS (
-    SELECT entity_id, min(event_date) AS first_event FROM events GROUP BY entity_id),
-timeline AS (
-    SELECT c.entity_id, e.event_date, {period_expr} AS period
-    FROM cohort c JOIN events e ON c.entity_id = e.entity_id)
-SELECT period, count(DISTINCT entity_id) AS retained
-FROM timeline GROUP BY period ORDER BY period"""
-
-
-RETENTION_GENERIC = _generic(
-    "SELECT o_custkey AS entity_id, CAST(o_orderdate AS DATE) AS event_date FROM orders",
-    years("e.event_date", "c.first_event"),
-)
-RETENTION_EVENTS_WEEK = _generic(
-    "SELECT user_id AS entity_id, CAST(ts AS DATE) AS event_date FROM events",
-    "CAST((e.event_date - c.first_event) // 7 AS BIGINT)",
-)
-
-RETENTION_GENERIC_MONTH = _generic(
-    "SELECT o_custkey AS entity_id, CAST(o_orderdate AS DATE) AS event_date FROM orders",
-    f"{years('e.event_date', 'c.first_event')} * 12 + "
-    "date_part('month', age(CAST(e.event_date AS TIMESTAMP), CAST(c.first_event AS TIMESTAMP)))",
-)
-RETENTION_EVENTS_DAY = _generic(
-    "SELECT user_id AS entity_id, CAST(ts AS DATE) AS event_date FROM events",
-    "CAST(e.event_date - c.first_event AS BIGINT)",
-)
-
-_PIVOT_CELLS = ",\n       ".join(
-    f"max(CASE WHEN period = {p} THEN pct_retained END) AS yr_{p}" for p in A.PIVOT_PERIODS
-)
-RETENTION_PIVOT = f"""WITH curve AS ({RETENTION_CURVE})
-SELECT max(cohort_size) AS cohort_size,
-       {_PIVOT_CELLS}
-FROM curve"""
-
-INTERVAL_SPINE = f"""WITH {TERMS}, {DATE_DIM}
-SELECT a.id_bioguide, a.first_term, b.term_start, b.term_end, dd.date,
-       {years('dd.date', 'a.first_term')} AS period
-FROM {FIRST} a
-JOIN terms b ON a.id_bioguide = b.id_bioguide
-{YEAR_END_JOIN}"""
-
-
-def _interval_counts(keys: list[str], first: str = FIRST, extra_join: str = "", where: str = "") -> str:
-    sel = "".join(f"{k}, " for k in keys)
-    n = len(keys) + 1
-    group = ", ".join(str(i) for i in range(1, n + 1))
-    return f"""SELECT {sel}coalesce({years('dd.date', 'a.first_term')}, 0) AS period,
-           count(DISTINCT a.id_bioguide) AS cohort_retained
-    FROM {first} a
-    JOIN terms b ON a.id_bioguide = b.id_bioguide
-    {YEAR_END_JOIN}
-    {extra_join}
-    {where}
-    GROUP BY {group}"""
-
-
-def _curve(counts: str, keys: list[str], size: str, pct: str, digits: int | None, ctes: str) -> str:
-    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
-    fv = f"first_value(cohort_retained) OVER ({part}ORDER BY period)"
-    pct_expr = (
-        f"CAST(cohort_retained AS DOUBLE) / {fv}"
-        if digits is None
-        else iround("cohort_retained", fv, digits)
+def whole_months(later: str, earlier: str) -> str:
+    return (
+        f"{whole_years(later, earlier)} * 12 + "
+        f"date_part('month', age(CAST({later} AS TIMESTAMP), CAST({earlier} AS TIMESTAMP)))"
     )
-    sel = "".join(f"{k}, " for k in keys)
-    return f"""WITH {ctes},
-c AS (
-    {counts})
-SELECT {sel}period, {fv} AS {size}, cohort_retained, {pct_expr} AS {pct}
-FROM c"""
 
 
-_BASE = f"{TERMS}, {DATE_DIM}"
-_WITH_DIM = f"{TERMS}, {DATE_DIM}, {LEGISLATORS}"
-_RANGE = f"WHERE a.first_term BETWEEN DATE '{A.COHORT_FROM}' AND DATE '{A.COHORT_TO}'"
-_DIM_JOIN = "JOIN legislators c ON a.id_bioguide = c.id_bioguide"
+def rounded(n: str, d: str, k: int) -> str:
+    """round(n / d, k) for integers n >= 0, d > 0, as double."""
+    p = 10**k
+    return f"(CAST((2 * CAST({n} AS HUGEINT) * {p} + ({d})) // (2 * ({d})) AS DOUBLE) / {p})"
+
 
-INTERVAL_COUNTS = f"WITH {_BASE}\n" + _interval_counts([])
-COUNTS_BY_YEAR = f"WITH {_BASE}\n" + _interval_counts(
-    ["CAST(date_part('year', a.first_term) AS BIGINT) AS first_year"]
-)
+def share(counts: str, keys: list[str], size: str, pct: str, digits: int | None) -> str:
+    """Counts with their cohort's size: the count at its smallest period (a null one is the largest)."""
+    names = "".join(f"c.{k}, " for k in keys)
+    same = "".join(f" AND z.{k} IS NOT DISTINCT FROM c.{k}" for k in keys)
+    of = "".join(f"{k}, " for k in keys)
+    ratio = "CAST(c.n AS DOUBLE) / z.n" if digits is None else rounded("c.n", "z.n", digits)
+    group = f" GROUP BY {', '.join(keys)}" if keys else ""
+    return f"""{counts},
+sizes AS (SELECT {of}arg_min(n, coalesce(period, 9223372036854775807)) AS n FROM counts{group})
+SELECT {names}c.period, z.n AS {size}, c.n AS cohort_retained, {ratio} AS {pct}
+FROM counts c JOIN sizes z ON true{same}"""
+
+
+def by_interval(
+    keys: dict[str, str] | None = None, joined: str = "", ranged: bool = False
+) -> str:
+    """CTEs up to ``counts``: entities per key and completed years at the year ends their intervals cover."""
+    keys = keys or {}
+    picked = "".join(f"{e} AS {k}, " for k, e in keys.items())
+    group = ", ".join([*keys.values(), "period"])
+    where = f"\n    WHERE f.opened >= DATE '{A.COHORT_FROM}' AND f.opened <= DATE '{A.COHORT_TO}'" if ranged else ""
+    return f"""WITH {HISTORY},
+{YEAR_ENDS},
+covered AS (
+    SELECT h.id, e.closing FROM history h
+    LEFT JOIN year_ends e ON e.closing >= h.begins AND e.closing <= h.ends),
+counts AS (
+    SELECT {picked}coalesce({whole_years('v.closing', 'f.opened')}, 0) AS period, count(DISTINCT f.id) AS n
+    FROM covered v JOIN opening f USING (id){joined}{where}
+    GROUP BY {group})"""
+
+
+def plain_counts(keys: list[str]) -> str:
+    names = "".join(f"{k}, " for k in keys)
+    return f"\nSELECT {names}period, n AS cohort_retained FROM counts"
+
+
+def since_first(source: str, period: str) -> str:
+    """Entities per period of (who, moment) rows since each one's first moment."""
+    return f"""WITH seen AS ({source}),
+since AS (SELECT who, moment, min(moment) OVER (PARTITION BY who) AS start FROM seen WHERE who IS NOT NULL)
+SELECT {period} AS period, count(DISTINCT who) AS retained FROM since GROUP BY 1 ORDER BY 1"""
+
+
+_ORDER_DAYS = "SELECT o_custkey AS who, CAST(o_orderdate AS DATE) AS moment FROM orders"
+_EVENT_DAYS = "SELECT user_id AS who, CAST(ts AS DATE) AS moment FROM events"
+_EVENT_TIMES = "SELECT user_id AS who, ts AS moment FROM events"
+
+_EVENTS = f"""WITH {HISTORY},
+counts AS (
+    SELECT {whole_years('h.begins', 'f.opened')} AS period, count(DISTINCT h.id) AS n
+    FROM history h JOIN opening f USING (id) GROUP BY 1)"""
+
+_CURVE = share(_EVENTS, [], "cohort_size", "pct_retained", 2)
+_CELLS = ", ".join(f"max(pct_retained) FILTER (period = {p}) AS yr_{p}" for p in A.PIVOT_PERIODS)
+
+_SEGMENT = {"gender": "s.c_mktsegment"}
+_JOIN_SEGMENT = " JOIN customer s ON s.c_custkey = f.id"
+_FIRST_YEAR = {"first_year": "CAST(year(f.opened) AS BIGINT)"}
+_FIRST_CENTURY = {"first_century": "CAST(century(f.opened) AS BIGINT)"}
+_FIRST_LABEL = {"first_state": "f.opening_label"}
+_BY_SEGMENT = ("cohort_size_by_gender", "pct_retained_by_gender")
 
 SQL = {
-    "first_event": f"WITH {TERMS}\nSELECT id_bioguide, min(term_start) AS first_term FROM terms GROUP BY 1 ORDER BY first_term",
-    "retention_counts": RETENTION_COUNTS,
-    "retention_curve": RETENTION_CURVE,
-    "retention_generic": RETENTION_GENERIC,
-    "retention_events_week": RETENTION_EVENTS_WEEK,
-    "retention_generic_month": RETENTION_GENERIC_MONTH,
-    "retention_events_day": RETENTION_EVENTS_DAY,
-    "retention_pivot": RETENTION_PIVOT,
-    "interval_spine": INTERVAL_SPINE,
-    "interval_retention_counts": INTERVAL_COUNTS,
-    "interval_retention_curve": _curve(
-        _interval_counts([]), [], "cohort_size", "pct_retained", 4, _BASE
+    "first_event": f"WITH {HISTORY}\nSELECT id AS id_bioguide, opened AS first_term FROM opening",
+    "retention_counts": _EVENTS + plain_counts([]),
+    "retention_curve": _CURVE,
+    "retention_generic": since_first(_ORDER_DAYS, whole_years("moment", "start")),
+    "retention_events_week": since_first(_EVENT_DAYS, "CAST((moment - start) // 7 AS BIGINT)"),
+    "retention_generic_month": since_first(_ORDER_DAYS, whole_months("moment", "start")),
+    "retention_events_month": since_first(_EVENT_TIMES, whole_months("moment", "start")),
+    "retention_events_day": since_first(_EVENT_DAYS, "CAST(moment - start AS BIGINT)"),
+    "retention_pivot": f"SELECT max(cohort_size) AS cohort_size, {_CELLS} FROM ({_CURVE})",
+    "interval_spine": f"""WITH {HISTORY},
+{YEAR_ENDS}
+SELECT h.id AS id_bioguide, f.opened AS first_term, h.begins AS term_start, h.ends AS term_end, e.closing AS date,
+       {whole_years('e.closing', 'f.opened')} AS period
+FROM history h JOIN opening f USING (id)
+LEFT JOIN year_ends e ON e.closing >= h.begins AND e.closing <= h.ends""",
+    "interval_retention_counts": by_interval() + plain_counts([]),
+    "interval_retention_curve": share(by_interval(), [], "cohort_size", "pct_retained", 4),
+    "retention_counts_by_year": by_interval(_FIRST_YEAR) + plain_counts(["first_year"]),
+    "retention_by_year": share(by_interval(_FIRST_YEAR), ["first_year"], "cohort_size", "pct_retained", None),
+    "retention_by_century": share(by_interval(_FIRST_CENTURY), ["first_century"], "cohort_size", "pct_retained", 4),
+    "first_attribute": f"""WITH {HISTORY}
+SELECT id AS id_bioguide, opened AS first_term, opening_label AS first_state FROM opening""",
+    "retention_by_first_attribute": share(
+        by_interval(_FIRST_LABEL), ["first_state"], "cohort_size_by_state", "pct_retained_by_state", None
     ),
-    "retention_counts_by_year": COUNTS_BY_YEAR,
-    "retention_by_year": _curve(
-        _interval_counts(["CAST(date_part('year', a.first_term) AS BIGINT) AS first_year"]),
-        ["first_year"],
-        "cohort_size",
-        "pct_retained",
-        None,
-        _BASE,
-    ),
-    "retention_by_century": _curve(
-        _interval_counts(["CAST(date_part('century', a.first_term) AS BIGINT) AS first_century"]),
-        ["first_century"],
-        "cohort_size",
-        "pct_retained",
-        4,
-        _BASE,
-    ),
-    "first_attribute": f"WITH {TERMS}\n" + FIRST_STATE.strip()[1:-1],
-    "retention_by_first_attribute": _curve(
-        _interval_counts(["a.first_state"], first=FIRST_STATE),
-        ["first_state"],
-        "cohort_size_by_state",
-        "pct_retained_by_state",
-        None,
-        _BASE,
-    ),
-    "retention_by_dimension": _curve(
-        _interval_counts(["c.gender"], extra_join=_DIM_JOIN),
-        ["gender"],
-        "cohort_size_by_gender",
-        "pct_retained_by_gender",
-        None,
-        _WITH_DIM,
-    ),
-    "retention_by_dimension_range": _curve(
-        _interval_counts(["c.gender"], extra_join=_DIM_JOIN, where=_RANGE),
-        ["gender"],
-        "cohort_size_by_gender",
-        "pct_retained_by_gender",
-        None,
-        _WITH_DIM,
+    "retention_by_dimension": share(by_interval(_SEGMENT, _JOIN_SEGMENT), ["gender"], *_BY_SEGMENT, None),
+    "retention_by_dimension_range": share(
+        by_interval(_SEGMENT, _JOIN_SEGMENT, ranged=True), ["gender"], *_BY_SEGMENT, None
     ),
-    "retention_sparse_multi": _curve(
-        _interval_counts(["a.first_state", "c.gender"], first=FIRST_STATE, extra_join=_DIM_JOIN, where=_RANGE),
+    "retention_sparse_multi": share(
+        by_interval(_FIRST_LABEL | _SEGMENT, _JOIN_SEGMENT, ranged=True),
         ["first_state", "gender"],
         "cohort_size",
         "pct_retained",
         None,
-        _WITH_DIM,
     ),
 }

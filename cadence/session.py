@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every operator relies on. AQE re-plans joins from runtime sizes
@@ -40,7 +37,6 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -61,7 +57,7 @@ def cluster_conf(
       that come out small and splits skewed join partitions.
     """
     expected_shuffle = max(1, int(input_bytes * shuffle_fraction))
-    partitions = min(200_000, max(200, expected_shuffle // shuffle_partition_bytes))
+    partitions = max(200, expected_shuffle // shuffle_partition_bytes)
     return {
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
@@ -72,26 +68,3 @@ def cluster_conf(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
     }
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory named by the cluster.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is
-    used as is. Only when it is unset (local tests) a scratch folder is
-    created and registered.
-    """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if configured:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(configured)
-        return configured
-    existing = sc.getCheckpointDir()
-    if existing:
-        return existing
-    local_dir = tempfile.mkdtemp(prefix="cadence-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local_dir)
-    return local_dir

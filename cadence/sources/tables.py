@@ -60,9 +60,9 @@ TERM_DAYS = 730
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table; a known schema is applied, never inferred."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = SCHEMAS.get(name)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    if name not in SCHEMAS:
+        raise ValueError(f"unknown table {name!r}; known are {sorted(SCHEMAS)}")
+    return spark.read.schema(SCHEMAS[name]).parquet(path)
 
 
 def as_date(c: str | Column) -> Column:

@@ -147,3 +147,54 @@ def test_hot_entity_is_bounded_before_window(spark):
     h = spark.createDataFrame(rows, "id string, ts date")
     got = {r["period"]: r["cohort_retained"] for r in co.retention_counts(h, "id", "ts", "day").collect()}
     assert got == {**{p: 1 for p in range(1, 20)}, 0: 2}
+
+
+def test_null_entity_keeps_its_group_in_stand_alone_first_rows(spark):
+    rows = [(None, dt.date(2000, 1, 2), "b", 2), (None, dt.date(2000, 1, 1), "a", 1), (7, dt.date(2001, 1, 1), "c", 3)]
+    h = spark.createDataFrame(rows, "id int, d date, label string, tie int")
+    assert sorted(map(tuple, co.first_event(h, "id", "d").collect()), key=str) == [
+        (7, dt.date(2001, 1, 1)),
+        (None, dt.date(2000, 1, 1)),
+    ]
+    got = co.first_attribute(h, "id", "d", "label", "tie").collect()
+    assert {r["id"]: r["first_label"] for r in got} == {None: "a", 7: "c"}
+
+
+def test_terms_beyond_any_fixed_year_are_expanded(spark):
+    rows = [(1, dt.date(2003, 1, 1), dt.date(2008, 6, 1)), (2, dt.date(2006, 3, 1), dt.date(2009, 1, 1))]
+    h = spark.createDataFrame(rows, "id int, s date, e date")
+    counts = co.interval_retention_counts(h, "id", "s", "e").collect()
+    assert {r["period"]: r["cohort_retained"] for r in counts} == {0: 2, 1: 2, 2: 2, 3: 1, 4: 1}
+
+
+def test_copies_travel_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(co, "COPIES_PER_CHUNK", 3)
+    rows = [(1, dt.date(2000, 1, 1), dt.date(2001, 6, 1))] * 10 + [(1, dt.date(1999, 5, 1), dt.date(1999, 6, 1))]
+    h = spark.createDataFrame(rows, "id int, s date, e date")
+    out = co.expand_to_spine(h, "id", "s", "e", rows_per_task=4).collect()
+    assert len(out) == 11 and sum(r["date"] is None for r in out) == 1
+    assert {r["first_term"] for r in out} == {dt.date(1999, 5, 1)}
+
+
+def test_timestamps_complete_months_by_the_time_of_day(spark):
+    import duckdb
+
+    from tests.harness import duck_connect  # noqa: F401 - same engine as the oracles
+
+    times = [
+        (1, dt.datetime(2000, 1, 31, 10)), (1, dt.datetime(2000, 2, 29, 11)), (1, dt.datetime(2001, 1, 31, 9)),
+        (1, dt.datetime(2001, 1, 31, 10)), (2, dt.datetime(2000, 6, 1, 10)), (2, dt.datetime(2001, 6, 1, 8)),
+    ]
+    h = spark.createDataFrame(times, "id int, ts timestamp")
+    for unit, expr in (
+        ("year", "date_part('year', age(ts, f))"),
+        ("month", "date_part('year', age(ts, f)) * 12 + date_part('month', age(ts, f))"),
+    ):
+        con = duckdb.connect()
+        values = ", ".join(f"({i}, TIMESTAMP '{t}')" for i, t in times)
+        want = con.execute(
+            f"SELECT {expr} p, count(DISTINCT id) FROM (SELECT *, min(ts) OVER (PARTITION BY id) f "
+            f"FROM (VALUES {values}) v(id, ts)) GROUP BY 1"
+        ).fetchall()
+        got = co.retention_counts(h, "id", "ts", unit).collect()
+        assert sorted(map(tuple, got)) == sorted(want)

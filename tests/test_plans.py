@@ -6,9 +6,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from cadence.plans.registry import QUERIES
+from cadence.plans.registry import QUERIES
 from tests.conftest import SF001
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 def _plan(df) -> str:

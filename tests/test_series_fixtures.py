@@ -239,3 +239,30 @@ def test_rolling_family_matches_brute_force(spark, series):
     for i, d in enumerate(ordered):
         win = [obs[k] for k in ordered[max(0, i - 11): i + 1]]
         assert mav[d] == (_half_up(sum(win) / len(win)), len(win))
+
+
+def test_null_period_sorts_last_in_lags_and_averages(spark):
+    rows = [(None, Decimal("99.00")), (D(2000, 1, 1), Decimal("1.00")), (D(2000, 2, 1), Decimal("3.00"))]
+    s = spark.createDataFrame(rows, "sales_month date, v decimal(18,2)")
+    from cadence.operators import growth as gr
+
+    lagged = {r["sales_month"]: r["prev_month_sales"] for r in gr.lag_period(s, "v").collect()}
+    assert lagged == {D(2000, 1, 1): None, D(2000, 2, 1): Decimal("1.00"), None: Decimal("3.00")}
+    avg = {r["sales_month"]: r["v_avg"] for r in ro.moving_average(s, {"v": "v"}, avg_fmt="{label}_avg").collect()}
+    assert avg[D(2000, 1, 1)] == 1.0 and avg[D(2000, 2, 1)] == 2.0
+
+
+def test_trailing_rows_of_any_day(spark):
+    rows = [(D(2000, 1, 15), Decimal("5.00")), (D(2000, 1, 1), Decimal("1.00")), (D(2000, 3, 31), Decimal("2.00"))]
+    s = spark.createDataFrame(rows, "sales_month date, v decimal(18,2)")
+    got = {(r["date"], r["sales_month"]) for r in ro.trailing_rows(s, "1999-01-01", "2002-01-01", "v").collect()}
+    want = set()
+    for m, _ in rows:
+        for k in range(12 * 3 + 1):
+            d = D(1999 + k // 12, k % 12 + 1, 1)
+            back = D(d.year - (1 if d.month < 12 else 0), (d.month - 12) % 12 + 1, 1) if d.month < 12 else D(d.year, 1, 1)
+            if back <= m <= d:
+                want.add((d, m))
+    assert got == want
+    spine = {r["date"]: r["records"] for r in ro.rolling_sparse(spark, s, "2000-02-01", "2000-04-01", "v").collect()}
+    assert spine == {D(2000, 2, 1): 2, D(2000, 3, 1): 2, D(2000, 4, 1): 3}

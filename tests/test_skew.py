@@ -145,7 +145,7 @@ def test_interval_spine_split_on_real_data_matches_oracle(spark):
 
     h = src.interval_history(spark, SF01)
     out = co.expand_to_spine(
-        h, "id_bioguide", "term_start", "term_end", A.SPINE_FROM, A.SPINE_TO, rows_per_task=3
+        h, "id_bioguide", "term_start", "term_end", rows_per_task=3
     )
     res = compare(out, duck_connect(SF01), entry.oracle_sql()["interval_spine"])
     assert res["ok"], res
