@@ -75,7 +75,7 @@ def remove_repeated(
     each time, as a scan of files does."""
     least = max(2, least)
     keep = [c for c in docs.columns if c.lower() != removed.lower()]
-    uid, ranges = fresh(docs, "uid_", "ranges_")
+    uid, ranges, owner = fresh(docs, "uid_", "ranges_", "owner_")
     rows = docs.select(*[col(c) for c in keep]).withColumn(uid, F.monotonically_increasing_id())
     id_field = StructField("id_", docs.schema[doc_id].dataType)
 
@@ -126,10 +126,10 @@ def remove_repeated(
     mine = (
         places.join(repeated, "h")
         .withColumn("go", ~((F.col("uid_") == F.col("first_uid")) & (F.col("a") == F.col("first_a"))))
-        .groupBy("uid_")
+        .groupBy(F.col("uid_").alias(owner))
         .agg(F.collect_list(F.struct("a", "b", "h", "go")).alias(ranges))
     )
-    joined = written(rows.join(mine, rows[uid] == mine["uid_"], "left").drop("uid_"), "marked")
+    joined = written(rows.join(mine, rows[uid] == mine[owner], "left").drop(owner), "marked")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,8 +158,8 @@ def remove_repeated(
         spans = joined.select(F.col(uid).alias("u_"), F.explode(ranges).alias("s")).join(
             differ, F.col("s.h") == F.col("h"), "left_anti"
         )
-        good = spans.groupBy("u_").agg(F.collect_list("s").alias("good_"))
-        joined = joined.drop(ranges).join(good, F.col(uid) == F.col("u_"), "left").withColumnRenamed("good_", ranges)
+        good = spans.groupBy(F.col("u_").alias(owner)).agg(F.collect_list("s").alias(ranges))
+        joined = joined.drop(ranges).join(good, F.col(uid) == F.col(owner), "left").drop(owner)
     going = F.transform(F.filter(F.col(ranges), lambda s: s["go"]), lambda s: F.struct(s["a"], s["b"]))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
