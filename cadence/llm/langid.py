@@ -38,6 +38,7 @@ class Bounds:
     words_per_lang: int = 15_000
     grams_per_lang: int = 10_000  # of each length
     longest_gram: int = 5
+    langs_sent: int = 1_000  # languages whose sizes travel to the texts; beyond, texts are joined to them by shuffle
 
 
 @dataclass(frozen=True)
@@ -115,7 +116,9 @@ def train(labelled: DataFrame, bounds: Bounds = Bounds()) -> Model:
     """Fit on rows (``id_``, ``text_``, ``lang_``) without nulls in text or
     lang. Where a language has more than ``docs_per_lang`` rows, those are
     taken whose id hashes below its share."""
-    sizes = labelled.groupBy("lang_").agg(F.count(F.lit(1)).alias("rows_"))
+    sizes = written(labelled.groupBy("lang_").agg(F.count(F.lit(1)).alias("rows_")), "sizes")
+    if sizes.limit(bounds.langs_sent + 1).count() <= bounds.langs_sent:
+        sizes = F.broadcast(sizes)
     below = F.pmod(F.xxhash64(F.lit(7), F.col("id_")), F.lit(1 << 30)) < F.floor(
         F.lit(float(1 << 30)) * bounds.docs_per_lang / F.col("rows_")
     )
