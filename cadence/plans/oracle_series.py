@@ -1,260 +1,188 @@
 """DuckDB oracle SQL for the time-series queries.
 
-Shaped as the analyses state them: conditional-sum pivots, window
-functions over the pivoted view, literal range joins to a generated
-daily date dimension. Rounded values use exact integer arithmetic on
-cents (half away from zero) because DuckDB rounds on doubles;
-unrounded means are the double quotient of the exact sum and the count.
+Written from the operators' definitions by another route than the Spark
+plans take: everything is computed on integer cents, frames and lags are
+joins of numbered rows instead of window frames, trailing months are month
+distances, and the spine is generated month by month. Rounding is half away
+from zero on integers, because DuckDB rounds on doubles.
 """
 
 from cadence.plans import analogs as A
 
+a, b, one = A.LABEL_A, A.LABEL_B, A.LABEL_SINGLE
+AM, BM, OM = f"{a}_monthly_sales", f"{b}_monthly_sales", f"{one}_monthly_sales"
+AY, BY, OY = f"{a}_yearly_sales", f"{b}_yearly_sales", f"{one}_yearly_sales"
 
-def cents(x: str) -> str:
-    return f"CAST(({x}) * 100 AS HUGEINT)"
 
+def money(c: str) -> str:
+    """Cents as decimal(18,2)."""
+    return f"CAST(CAST({c} AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(18,2))"
 
-def sround(n: str, d: str, k: int) -> str:
-    """round(n / d, k), half away from zero, for integer expressions."""
-    p = 10**k
-    return (
-        f"(CASE WHEN ({d}) = 0 THEN NULL ELSE CAST(sign({n}) * sign({d}) * "
-        f"((2 * abs({n}) * {p} + abs({d})) // (2 * abs({d}))) AS DOUBLE) / {p} END)"
-    )
 
+def dbl(c: str) -> str:
+    return f"CAST({money(c)} AS DOUBLE)"
 
-def money(x: str) -> str:
-    return f"CAST({x} AS DECIMAL(18,2))"
 
+def rounded(n: str, d: str, digits: int = 2) -> str:
+    """n / d of integers to ``digits``, half away from zero; NULL where d is 0."""
+    unit = 10**digits
+    size = f"(2 * abs({n}) * {unit} + abs({d})) // (2 * abs(nullif({d}, 0)))"
+    return f"CAST(sign({n}) * sign({d}) * ({size}) AS DOUBLE) / {unit}"
 
-a, b, one = A.LABEL_A, A.LABEL_B, A.LABEL_SINGLE
-AM, BM, OM = f"{a}_monthly_sales", f"{b}_monthly_sales", f"{one}_monthly_sales"
-YEAR = "CAST(extract(year FROM sales_month) AS BIGINT)"
 
-RETAIL = """retail_sales AS (
-    SELECT CAST(date_trunc('month', o.o_orderdate) AS DATE) AS sales_month,
-           c.c_mktsegment AS kind_of_business,
-           CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS sales
-    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-    GROUP BY 1, 2)"""
+def change(new: str, old: str) -> str:
+    return rounded(f"(({new} - {old}) * 100)", old)
 
-PAIR = f"""{RETAIL},
-mw AS (
-    SELECT sales_month,
-           {money(f"sum(CASE WHEN kind_of_business = '{A.CAT_A}' THEN sales END)")} AS {AM},
-           {money(f"sum(CASE WHEN kind_of_business = '{A.CAT_B}' THEN sales END)")} AS {BM}
-    FROM retail_sales
-    WHERE kind_of_business IN ('{A.CAT_A}', '{A.CAT_B}')
-    GROUP BY sales_month)"""
 
-SINGLE = f"""{RETAIL},
-bmd AS (
-    SELECT sales_month,
-           {money(f"sum(CASE WHEN kind_of_business = '{A.CAT_SINGLE}' THEN sales END)")} AS {OM}
-    FROM retail_sales
-    GROUP BY sales_month)"""
+def share(part: str, whole: str) -> str:
+    return rounded(f"({part} * 100)", f"({whole})")
 
-_SM = "(PARTITION BY date_part('month', sales_month) ORDER BY sales_month)"
-SINGLE_VIEW = f"""{SINGLE},
-bsv AS (
-    SELECT sales_month, {OM},
-           lag(sales_month) OVER {_SM} AS prev_year_month,
-           lag({OM}) OVER {_SM} AS prev_years_month_sales,
-           {money(f"{OM} - lag({OM}) OVER {_SM}")} AS absolute_diff,
-           {sround(cents(f"{OM} - lag({OM}) OVER {_SM}") + " * 100", cents(f"lag({OM}) OVER {_SM}"), 2)} AS pct_diff
-    FROM bmd)"""
 
+def mean(total: str, n: str) -> str:
+    """Mean in money of a sum of cents."""
+    return rounded(total, f"(100 * {n})")
 
-def date_dim(first: str, last: str) -> str:
-    return f"""date_dim AS (
-    SELECT CAST(range AS DATE) AS date,
-           CAST(date_trunc('month', range) AS DATE) AS first_day_of_month
-    FROM range(TIMESTAMP '{first}' - INTERVAL 400 DAY, TIMESTAMP '{last}' + INTERVAL 400 DAY, INTERVAL 1 DAY))"""
 
+def names(*cats: str) -> str:
+    return "(" + ", ".join(f"'{c}'" for c in cats) + ")"
 
-DIM = date_dim(A.MONTH_SPINE_FROM, A.MONTH_SPINE_TO)
-SPINE_WHERE = (
-    f"dim.date = dim.first_day_of_month AND dim.date BETWEEN DATE '{A.MONTH_SPINE_FROM}' "
-    f"AND DATE '{A.MONTH_SPINE_TO}'"
-)
-_MONTHS = ", ".join(str(m) for m in A.SPARSE_MONTHS)
-_YTD = "(PARTITION BY date_part('year', sales_month) ORDER BY sales_month)"
-_W12 = "(ORDER BY sales_month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)"
 
+def of(cat: str) -> str:
+    return f"sum(c) FILTER (seg = '{cat}')"
 
-def _mavg(col: str, w: str) -> str:
-    return sround(cents(f"sum({col}) OVER {w}"), f"100 * count({col}) OVER {w}", 2)
 
+YEAR = "CAST(year(m) AS BIGINT)"
+CELLS = """cells AS (
+    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS m, c_mktsegment AS seg,
+           sum(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS HUGEINT)) AS c
+    FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY ALL)"""
+PAIR = f"""{CELLS},
+two AS (
+    SELECT m, row_number() OVER (ORDER BY m) AS pos, {of(A.CAT_A)} AS x, {of(A.CAT_B)} AS y
+    FROM cells WHERE seg IN {names(A.CAT_A, A.CAT_B)} GROUP BY m)"""
+YEARS = f"""{PAIR},
+annual AS (SELECT {YEAR} AS yr, sum(x) AS x, sum(y) AS y FROM two GROUP BY 1),
+base AS (SELECT x AS x0, y AS y0 FROM annual WHERE yr = (SELECT min(yr) FROM annual))"""
+SINGLE = f"""{CELLS},
+mono AS (SELECT m, row_number() OVER (ORDER BY m) AS pos, {of(A.CAT_SINGLE)} AS v FROM cells GROUP BY m),
+ranked AS (SELECT m, v, (SELECT count(*) FROM mono o WHERE month(o.m) = month(mono.m) AND o.m < mono.m) AS nth FROM mono)"""
 
-def _pct_share(part: str, whole: str) -> str:
-    return sround(cents(part) + " * 100", cents(whole), 2)
 
+def gathered(name: str, within: str) -> str:
+    """Sums, counts and maxima over the rows q of each row p's frame."""
+    return f"""{name} AS (
+    SELECT p.m, sum(q.x) AS sx, count(q.x) AS nx, max(q.x) AS mx, sum(q.y) AS sy, count(q.y) AS ny, max(q.y) AS my
+    FROM two p JOIN two q ON {within} GROUP BY p.m)"""
 
-def _pct_change(new: str, old: str) -> str:
-    return sround(f"({cents(new)} - {cents(old)}) * 100", cents(old), 2)
 
+TRAIL = gathered("trail", "q.pos BETWEEN p.pos - 11 AND p.pos")
+SO_FAR = gathered("so_far", "year(q.m) = year(p.m) AND q.m <= p.m")
+EARLIER = "FROM ranked t LEFT JOIN ranked u ON month(u.m) = month(t.m) AND u.nth = t.nth - "
+SPARSE = f"""{PAIR},
+kept AS (SELECT m, x, y FROM two WHERE month(m) IN ({', '.join(map(str, A.SPARSE_MONTHS))})),
+spine AS (
+    SELECT CAST(range AS DATE) AS d
+    FROM range(TIMESTAMP '{A.MONTH_SPINE_FROM}', TIMESTAMP '{A.MONTH_SPINE_TO}' + INTERVAL 1 DAY, INTERVAL 1 MONTH))"""
+NEAR = "date_diff('month', kept.m, spine.d) BETWEEN 0 AND 11"
 
-def _avg_double(col: str, w: str) -> str:
-    return f"CAST(sum({col}) OVER {w} AS DOUBLE) / NULLIF(count({col}) OVER {w}, 0)"
 
+def _so_far(how: str) -> str:
+    cols = {
+        "sum": (f"{money('sx')} AS total_{a}_sales_ytd", f"{money('sy')} AS total_{b}_sales_ytd"),
+        "avg": (f"{mean('sx', 'nx')} AS avg_{a}_sales_ytd", f"{mean('sy', 'ny')} AS avg_{b}_sales_ytd"),
+        "max": (f"{money('mx')} AS max_{a}_sales_ytd", f"{money('my')} AS max_{b}_sales_ytd"),
+    }[how]
+    return f"""WITH {PAIR}, {SO_FAR}
+SELECT two.m AS sales_month, {money('x')} AS {AM}, {money('y')} AS {BM}, {', '.join(cols)}
+FROM two JOIN so_far ON so_far.m = two.m"""
 
-PANEL = f"""WITH {PAIR},
-yearly AS (
-    SELECT *, sum({AM}) OVER (PARTITION BY {YEAR}) AS a_year,
-              sum({BM}) OVER (PARTITION BY {YEAR}) AS b_year
-    FROM mw)
-SELECT sales_month, {AM}, {BM},
-       {money(f"{BM} - {AM}")} AS {b}_{a}_sales_diff,
-       {sround(cents(BM), cents(AM), 2)} AS {b}_to_{a}_sales_ratio,
-       {_pct_change(BM, AM)} AS {b}_to_{a}_pctage_diff,
-       {_pct_share(AM, f"{AM} + {BM}")} AS {a}_pctage_of_total,
-       {_pct_share(BM, f"{AM} + {BM}")} AS {b}_pctage_of_total,
-       {_pct_share(AM, "a_year")} AS {a}_pctage_of_yearly_sales,
-       {_pct_share(BM, "b_year")} AS {b}_pctage_of_yearly_sales,
-       {money(f"sum({AM}) OVER {_YTD}")} AS total_{a}_sales_ytd,
-       {money(f"sum({BM}) OVER {_YTD}")} AS total_{b}_sales_ytd,
-       {_mavg(AM, _W12)} AS {a}s_12_month_moving_average,
-       {_mavg(BM, _W12)} AS {b}s_12_month_moving_average
-FROM yearly"""
 
-BASE_STATS = f"""base_stats AS (
-    SELECT {YEAR} AS sales_year,
-           {money(f"sum({AM})")} AS {a}_yearly_sales,
-           {money(f"sum({BM})")} AS {b}_yearly_sales
-    FROM mw GROUP BY 1)"""
+def _by_year(*cats: str) -> str:
+    return f"""WITH {CELLS}
+SELECT {YEAR} AS sales_year, seg AS kind_of_business, {money('sum(c)')} AS sales
+FROM cells WHERE seg IN {names(*cats)} GROUP BY ALL"""
 
-_FV_A = f"first_value({a}_yearly_sales) OVER (ORDER BY sales_year)"
-_FV_B = f"first_value({b}_yearly_sales) OVER (ORDER BY sales_year)"
 
 SQL = {
-    "trend": f"WITH {RETAIL}\nSELECT sales_month, sales FROM retail_sales WHERE kind_of_business = '{A.CAT_TREND}'",
-    "yearly_total": f"""WITH {RETAIL}
-SELECT {YEAR} AS sales_year, {money('sum(sales)')} AS sales FROM retail_sales
-WHERE kind_of_business = '{A.CAT_TREND}' GROUP BY sales_year ORDER BY sales_year""",
-    "yearly_by_category": f"""WITH {RETAIL}
-SELECT {YEAR} AS sales_year, kind_of_business, {money('sum(sales)')} AS sales FROM retail_sales
-WHERE kind_of_business IN ({', '.join(f"'{c}'" for c in A.CATS_THREE)}) GROUP BY 1, 2""",
-    "yearly_two_categories": f"""WITH {RETAIL}
-SELECT {YEAR} AS sales_year, kind_of_business, {money('sum(sales)')} AS sales FROM retail_sales
-WHERE kind_of_business IN ('{A.CAT_A}', '{A.CAT_B}') GROUP BY 1, 2 ORDER BY 1""",
-    "compare_categories": f"""WITH {RETAIL}
-SELECT sales_month, kind_of_business, sales FROM retail_sales
-WHERE kind_of_business IN ('{A.CAT_A}', '{A.CAT_B}')""",
-    "pivot_monthly": f"WITH {PAIR}\nSELECT * FROM mw ORDER BY sales_month",
-    "pivot_yearly": f"""WITH {RETAIL}
-SELECT {YEAR} AS sales_year,
-       {money(f"sum(CASE WHEN kind_of_business = '{A.CAT_A}' THEN sales END)")} AS {a}_sales,
-       {money(f"sum(CASE WHEN kind_of_business = '{A.CAT_B}' THEN sales END)")} AS {b}_sales
-FROM retail_sales WHERE kind_of_business IN ('{A.CAT_A}', '{A.CAT_B}') GROUP BY 1""",
-    "yearly_gap": f"""WITH {RETAIL}
-SELECT {YEAR} AS sales_year,
-       {money(f"sum(CASE WHEN kind_of_business = '{A.CAT_A}' THEN sales END)")} AS {a}_sales,
-       {money(f"sum(CASE WHEN kind_of_business = '{A.CAT_B}' THEN sales END)")} AS {b}_sales,
-       {money(f"sum(CASE WHEN kind_of_business = '{A.CAT_B}' THEN sales END) - sum(CASE WHEN kind_of_business = '{A.CAT_A}' THEN sales END)")} AS {b}_{a}_sales_diff
-FROM retail_sales WHERE kind_of_business IN ('{A.CAT_A}', '{A.CAT_B}') GROUP BY 1""",
-    "panel": PANEL,
-    "index_base": f"""WITH {PAIR}, {BASE_STATS}
-SELECT sales_year, {_FV_A} AS {a}_index_sales, {_FV_B} AS {b}_index_sales FROM base_stats""",
-    "index_to_base": f"""WITH {PAIR}, {BASE_STATS}
-SELECT sales_year, {a}_yearly_sales, {b}_yearly_sales,
-       {_FV_A} AS {a}_index_sales, {_FV_B} AS {b}_index_sales,
-       {_pct_change(f"{a}_yearly_sales", _FV_A)} AS pct_from_{a}_index,
-       {_pct_change(f"{b}_yearly_sales", _FV_B)} AS pct_from_{b}_index,
-       {sround(cents(f"{b}_yearly_sales"), cents(f"{a}_yearly_sales"), 2)} AS yearly_{b}_to_{a}_sales_ratio,
-       {_pct_change(f"{b}_yearly_sales", f"{a}_yearly_sales")} AS {b}_to_{a}_yearly_pctage_diff
-FROM base_stats""",
-    "moving_average": f"""WITH {PAIR}
-SELECT sales_month,
-       {_mavg(AM, _W12)} AS {a}s_12_month_moving_average,
-       count({AM}) OVER {_W12} AS {a}s_record_count,
-       {_mavg(BM, _W12)} AS {b}s_12_month_moving_average,
-       count({BM}) OVER {_W12} AS {b}s_record_count
-FROM mw""",
-    "sparse_trailing_rows": f"""WITH {PAIR}, {DIM}
-SELECT dim.date, sales.sales_month, sales.{BM}
-FROM date_dim dim
-JOIN (SELECT sales_month, {BM} FROM mw WHERE date_part('month', sales_month) IN ({_MONTHS})) sales
-  ON sales.sales_month BETWEEN dim.date - INTERVAL 11 MONTH AND dim.date
-WHERE {SPINE_WHERE}""",
-    "rolling_sparse_range": f"""WITH {PAIR}, {DIM}
-SELECT dim.date,
-       CAST(sum(sales.{BM}) AS DOUBLE) / NULLIF(count(sales.{BM}), 0) AS {b}_sales_moving_avg,
-       count(sales.{BM}) AS records
-FROM date_dim dim
-LEFT JOIN (SELECT sales_month, {BM} FROM mw WHERE date_part('month', sales_month) IN ({_MONTHS})) sales
-  ON sales.sales_month BETWEEN dim.date - INTERVAL 11 MONTH AND dim.date
-WHERE {SPINE_WHERE}
-GROUP BY 1""",
-    "rolling_sparse_window": f"""WITH {PAIR}, {DIM},
-sparse_sales AS (
-    SELECT sales_month, {BM}, {AM} FROM mw WHERE date_part('month', sales_month) IN ({_MONTHS})),
-dense_timeline AS (
-    SELECT dim.date AS full_date, ss.{BM}, ss.{AM}
-    FROM date_dim dim LEFT JOIN sparse_sales ss ON dim.date = ss.sales_month
-    WHERE {SPINE_WHERE})
-SELECT full_date,
-       {_avg_double(BM, "(ORDER BY full_date ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)")} AS {b}_sales_moving_avg,
-       count({BM}) OVER (ORDER BY full_date ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS {b}_records_in_window,
-       {_avg_double(AM, "(ORDER BY full_date ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)")} AS {a}_sales_moving_avg,
-       count({AM}) OVER (ORDER BY full_date ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS {a}_records_in_window
-FROM dense_timeline ORDER BY full_date""",
-    "ytd_sum": f"""WITH {PAIR}
-SELECT sales_month, {AM}, {BM},
-       {money(f"sum({AM}) OVER {_YTD}")} AS total_{a}_sales_ytd,
-       {money(f"sum({BM}) OVER {_YTD}")} AS total_{b}_sales_ytd
-FROM mw""",
-    "ytd_avg": f"""WITH {PAIR}
-SELECT sales_month, {AM}, {BM},
-       {_mavg(AM, _YTD)} AS avg_{a}_sales_ytd,
-       {_mavg(BM, _YTD)} AS avg_{b}_sales_ytd
-FROM mw""",
-    "ytd_max": f"""WITH {PAIR}
-SELECT sales_month, {AM}, {BM},
-       max({AM}) OVER {_YTD} AS max_{a}_sales_ytd,
-       max({BM}) OVER {_YTD} AS max_{b}_sales_ytd
-FROM mw""",
-    "pivot_single": f"WITH {SINGLE}\nSELECT * FROM bmd ORDER BY sales_month",
+    "trend": f"WITH {CELLS} SELECT m AS sales_month, {money('c')} AS sales FROM cells WHERE seg = '{A.CAT_TREND}'",
+    "yearly_total": f"""WITH {CELLS}
+SELECT {YEAR} AS sales_year, {money(of(A.CAT_TREND))} AS sales FROM cells GROUP BY 1 HAVING sales IS NOT NULL""",
+    "yearly_by_category": _by_year(*A.CATS_THREE),
+    "yearly_two_categories": _by_year(A.CAT_A, A.CAT_B),
+    "compare_categories": f"""WITH {CELLS}
+SELECT m AS sales_month, seg AS kind_of_business, {money('c')} AS sales FROM cells WHERE seg IN {names(A.CAT_A, A.CAT_B)}""",
+    "pivot_monthly": f"WITH {PAIR} SELECT m AS sales_month, {money('x')} AS {AM}, {money('y')} AS {BM} FROM two",
+    "pivot_yearly": f"WITH {YEARS} SELECT yr AS sales_year, {money('x')} AS {a}_sales, {money('y')} AS {b}_sales FROM annual",
+    "yearly_gap": f"""WITH {YEARS}
+SELECT yr AS sales_year, {money('x')} AS {a}_sales, {money('y')} AS {b}_sales, {money('y - x')} AS {b}_{a}_sales_diff
+FROM annual""",
+    "panel": f"""WITH {YEARS}, {TRAIL}, {SO_FAR}
+SELECT two.m AS sales_month, {money('two.x')} AS {AM}, {money('two.y')} AS {BM},
+       {money('two.y - two.x')} AS {b}_{a}_sales_diff,
+       {rounded('two.y', 'two.x')} AS {b}_to_{a}_sales_ratio,
+       {change('two.y', 'two.x')} AS {b}_to_{a}_pctage_diff,
+       {share('two.x', 'two.x + two.y')} AS {a}_pctage_of_total,
+       {share('two.y', 'two.x + two.y')} AS {b}_pctage_of_total,
+       {share('two.x', 'annual.x')} AS {a}_pctage_of_yearly_sales,
+       {share('two.y', 'annual.y')} AS {b}_pctage_of_yearly_sales,
+       {money('so_far.sx')} AS total_{a}_sales_ytd,
+       {money('so_far.sy')} AS total_{b}_sales_ytd,
+       {mean('trail.sx', 'trail.nx')} AS {a}s_12_month_moving_average,
+       {mean('trail.sy', 'trail.ny')} AS {b}s_12_month_moving_average
+FROM two JOIN trail ON trail.m = two.m JOIN so_far ON so_far.m = two.m JOIN annual ON annual.yr = year(two.m)""",
+    "index_base": f"""WITH {YEARS}
+SELECT yr AS sales_year, {money('x0')} AS {a}_index_sales, {money('y0')} AS {b}_index_sales FROM annual CROSS JOIN base""",
+    "index_to_base": f"""WITH {YEARS}
+SELECT yr AS sales_year, {money('x')} AS {AY}, {money('y')} AS {BY},
+       {money('x0')} AS {a}_index_sales, {money('y0')} AS {b}_index_sales,
+       {change('x', 'x0')} AS pct_from_{a}_index, {change('y', 'y0')} AS pct_from_{b}_index,
+       {rounded('y', 'x')} AS yearly_{b}_to_{a}_sales_ratio, {change('y', 'x')} AS {b}_to_{a}_yearly_pctage_diff
+FROM annual CROSS JOIN base""",
+    "moving_average": f"""WITH {PAIR}, {TRAIL}
+SELECT m AS sales_month, {mean('sx', 'nx')} AS {a}s_12_month_moving_average, nx AS {a}s_record_count,
+       {mean('sy', 'ny')} AS {b}s_12_month_moving_average, ny AS {b}s_record_count
+FROM trail""",
+    "sparse_trailing_rows": f"""WITH {SPARSE}
+SELECT d AS date, m AS sales_month, {money('y')} AS {BM} FROM kept JOIN spine ON {NEAR}""",
+    "rolling_sparse_range": f"""WITH {SPARSE}
+SELECT d AS date, {dbl('sum(y)')} / nullif(count(y), 0) AS {b}_sales_moving_avg, count(y) AS records
+FROM spine LEFT JOIN kept ON {NEAR} GROUP BY d""",
+    "rolling_sparse_window": f"""WITH {SPARSE}
+SELECT d AS full_date,
+       {dbl('sum(y)')} / nullif(count(y), 0) AS {b}_sales_moving_avg, count(y) AS {b}_records_in_window,
+       {dbl('sum(x)')} / nullif(count(x), 0) AS {a}_sales_moving_avg, count(x) AS {a}_records_in_window
+FROM spine LEFT JOIN kept ON {NEAR} AND kept.m >= DATE '{A.MONTH_SPINE_FROM}' GROUP BY d""",
+    "ytd_sum": _so_far("sum"),
+    "ytd_avg": _so_far("avg"),
+    "ytd_max": _so_far("max"),
+    "pivot_single": f"WITH {SINGLE} SELECT m AS sales_month, {money('v')} AS {OM} FROM mono",
     "prev_month": f"""WITH {SINGLE}
-SELECT sales_month, {OM},
-       lag(sales_month) OVER (ORDER BY sales_month) AS previous_month,
-       lag({OM}) OVER (ORDER BY sales_month) AS prev_month_sales
-FROM bmd""",
+SELECT t.m AS sales_month, {money('t.v')} AS {OM}, u.m AS previous_month, {money('u.v')} AS prev_month_sales
+FROM mono t LEFT JOIN mono u ON u.pos + 1 = t.pos""",
     "mom_growth": f"""WITH {SINGLE}
-SELECT sales_month, {OM},
-       lag(sales_month) OVER (ORDER BY sales_month) AS previous_month,
-       lag({OM}) OVER (ORDER BY sales_month) AS prev_month_sales,
-       (CAST({OM} AS DOUBLE) / NULLIF(CAST(lag({OM}) OVER (ORDER BY sales_month) AS DOUBLE), 0) - 1) * 100
-           AS pct_growth_from_previous
-FROM bmd""",
-    "yoy_growth": f"""WITH {RETAIL},
-bookstore_data AS (
-    SELECT {YEAR} AS sales_year,
-           {money(f"sum(CASE WHEN kind_of_business = '{A.CAT_SINGLE}' THEN sales END)")} AS {one}_yearly_sales
-    FROM retail_sales GROUP BY 1)
-SELECT sales_year, {one}_yearly_sales,
-       lag(sales_year) OVER (ORDER BY sales_year) AS prev_year,
-       lag({one}_yearly_sales) OVER (ORDER BY sales_year) AS prev_year_sales,
-       {_pct_change(f"{one}_yearly_sales", f"lag({one}_yearly_sales) OVER (ORDER BY sales_year)")}
-           AS pct_growth_from_prev_year
-FROM bookstore_data""",
-    "same_month_last_year": f"WITH {SINGLE_VIEW}\nSELECT * FROM bsv",
-    "growth_extremes": f"WITH {SINGLE_VIEW}\nSELECT max(pct_diff) AS max_pct_diff, min(pct_diff) AS min_pct_diff FROM bsv",
-    "overlay_years": f"""WITH {SINGLE_VIEW}
-SELECT CAST(date_part('month', sales_month) AS BIGINT) AS month_number,
-       rpad(strftime(sales_month, '%B'), 9, ' ') AS month_name,
-       {', '.join(f"max(CASE WHEN date_part('year', sales_month) = {y} THEN {OM} END) AS sales_{y}" for y in A.OVERLAY_YEARS)}
-FROM bsv
-WHERE sales_month BETWEEN DATE '{A.OVERLAY_FROM}' AND DATE '{A.OVERLAY_TO}'
-GROUP BY 1, 2""",
-    "lag3_same_month": f"""WITH {SINGLE_VIEW}
-SELECT sales_month, {OM},
-       lag({OM}, 3) OVER (PARTITION BY extract(month FROM sales_month) ORDER BY sales_month) AS last_3yrs_sales
-FROM bsv""",
-    "pct_of_prior3": f"""WITH {SINGLE_VIEW}
-SELECT sales_month, {OM},
-       CAST({OM} AS DOUBLE) * 100 * count({OM}) OVER w
-           / NULLIF(CAST(sum({OM}) OVER w AS DOUBLE), 0) AS pctage_of_prev_3
-FROM bsv
-WINDOW w AS (PARTITION BY date_part('month', sales_month) ORDER BY sales_month
-             ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)""",
+SELECT t.m AS sales_month, {money('t.v')} AS {OM}, u.m AS previous_month, {money('u.v')} AS prev_month_sales,
+       ({dbl('t.v')} / nullif({dbl('u.v')}, 0) - 1) * 100 AS pct_growth_from_previous
+FROM mono t LEFT JOIN mono u ON u.pos + 1 = t.pos""",
+    "yoy_growth": f"""WITH {SINGLE},
+annual AS (SELECT {YEAR} AS yr, row_number() OVER (ORDER BY {YEAR}) AS pos, sum(v) AS v FROM mono GROUP BY {YEAR})
+SELECT t.yr AS sales_year, {money('t.v')} AS {OY}, u.yr AS prev_year, {money('u.v')} AS prev_year_sales,
+       {change('t.v', 'u.v')} AS pct_growth_from_prev_year
+FROM annual t LEFT JOIN annual u ON u.pos + 1 = t.pos""",
+    "same_month_last_year": f"""WITH {SINGLE}
+SELECT t.m AS sales_month, {money('t.v')} AS {OM}, u.m AS prev_year_month, {money('u.v')} AS prev_years_month_sales,
+       {money('t.v - u.v')} AS absolute_diff, {change('t.v', 'u.v')} AS pct_diff
+{EARLIER}1""",
+    "growth_extremes": f"""WITH {SINGLE}
+SELECT max({change('t.v', 'u.v')}) AS max_pct_diff, min({change('t.v', 'u.v')}) AS min_pct_diff {EARLIER}1""",
+    "overlay_years": f"""WITH {SINGLE}
+SELECT CAST(month(m) AS BIGINT) AS month_number, rpad(monthname(min(m)), 9, ' ') AS month_name,
+       {', '.join(f"{money(f'max(v) FILTER (year(m) = {y})')} AS sales_{y}" for y in A.OVERLAY_YEARS)}
+FROM mono WHERE m >= DATE '{A.OVERLAY_FROM}' AND m <= DATE '{A.OVERLAY_TO}' GROUP BY month(m)""",
+    "lag3_same_month": f"""WITH {SINGLE}
+SELECT t.m AS sales_month, {money('t.v')} AS {OM}, {money('u.v')} AS last_3yrs_sales {EARLIER}3""",
+    "pct_of_prior3": f"""WITH {SINGLE}
+SELECT t.m AS sales_month, {money('any_value(t.v)')} AS {OM},
+       {dbl('any_value(t.v)')} * 100 * count(u.v) / nullif({dbl('sum(u.v)')}, 0) AS pctage_of_prev_3
+FROM ranked t LEFT JOIN ranked u ON month(u.m) = month(t.m) AND u.nth BETWEEN t.nth - 3 AND t.nth - 1
+GROUP BY t.m""",
 }
