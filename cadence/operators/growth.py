@@ -1,7 +1,9 @@
 """Period-over-period operators: lags, growth, same period last year,
 side-by-side overlays and comparisons with several prior periods.
 
-All of them run on an aggregated series (one row per period), so the
+All of them run on an aggregated series: one row per period, or one per
+period and ``keys`` where several series lie side by side (their windows are
+partitioned by the keys, which lead the result). Without keys the
 unpartitioned ``lag`` windows see a calendar-bounded number of rows and
 the same-month windows are partitioned by calendar month.
 """
@@ -19,8 +21,12 @@ from cadence.functions import numeric as num
 MONTH = "sales_month"
 
 
-def _same_month(month: str) -> Window:
-    return Window.partitionBy(F.month(month)).orderBy(F.asc_nulls_last(month))
+def _in_order(period: str, keys: Sequence[str]) -> Window:
+    return Window.partitionBy(*keys).orderBy(F.asc_nulls_last(period))
+
+
+def _same_month(month: str, keys: Sequence[str] = ()) -> Window:
+    return Window.partitionBy(*keys, F.month(month)).orderBy(F.asc_nulls_last(month))
 
 
 # ---------------------------------------------------------------- X19
@@ -30,11 +36,12 @@ def lag_period(
     period: str = MONTH,
     prev_period_col: str = "previous_month",
     prev_value_col: str = "prev_month_sales",
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Previous row's period and value (ordered by period)."""
-    w = Window.orderBy(F.asc_nulls_last(period))
+    w = _in_order(period, keys)
     return wide.select(
-        period, value, F.lag(period).over(w).alias(prev_period_col), F.lag(value).over(w).alias(prev_value_col)
+        *keys, period, value, F.lag(period).over(w).alias(prev_period_col), F.lag(value).over(w).alias(prev_value_col)
     )
 
 
@@ -47,17 +54,19 @@ def growth(
     prev_value_col: str = "prev_month_sales",
     growth_col: str = "pct_growth_from_previous",
     digits: int | None = None,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Previous period, previous value and percent growth
     ``(value / previous - 1) * 100`` (rounded to ``digits`` or unrounded
     double). The previous period is the previous *present* row."""
-    w = Window.orderBy(F.asc_nulls_last(period))
+    w = _in_order(period, keys)
     prev = F.lag(value).over(w)
     if digits is None:
         pct = (num.double_ratio(value, prev) - 1) * 100
     else:
         pct = num.round_pct_change(value, prev, digits)
     return wide.select(
+        *keys,
         period,
         value,
         F.lag(period).over(w).alias(prev_period_col),
@@ -73,12 +82,14 @@ def same_period_last_year(
     month: str = MONTH,
     prev_month_col: str = "prev_year_month",
     prev_value_col: str = "prev_years_month_sales",
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """The same calendar month's previous row (last year), the
     absolute difference and the percent change rounded to 2."""
-    w = _same_month(month)
+    w = _same_month(month, keys)
     prev = F.lag(value).over(w)
     return wide.select(
+        *keys,
         month,
         value,
         F.lag(month).over(w).alias(prev_month_col),
@@ -117,19 +128,23 @@ def overlay_years(
 
 
 # ---------------------------------------------------------------- X25
-def lag_same_month(wide: DataFrame, value: str, n: int, out_col: str, month: str = MONTH) -> DataFrame:
+def lag_same_month(
+    wide: DataFrame, value: str, n: int, out_col: str, month: str = MONTH, keys: Sequence[str] = ()
+) -> DataFrame:
     """The value ``n`` rows earlier within the same calendar month."""
-    return wide.select(month, value, F.lag(value, n).over(_same_month(month)).alias(out_col))
+    return wide.select(*keys, month, value, F.lag(value, n).over(_same_month(month, keys)).alias(out_col))
 
 
 # ---------------------------------------------------------------- X26
-def pct_of_prior_mean(wide: DataFrame, value: str, n: int, out_col: str, month: str = MONTH) -> DataFrame:
+def pct_of_prior_mean(
+    wide: DataFrame, value: str, n: int, out_col: str, month: str = MONTH, keys: Sequence[str] = ()
+) -> DataFrame:
     """Value * 100 / mean of the ``n`` previous same-month values
     (current excluded; fewer at the start, NULL when there are none)."""
-    w = _same_month(month).rowsBetween(-n, -1)
+    w = _same_month(month, keys).rowsBetween(-n, -1)
     v = F.col(value).cast("double")
     pct = F.try_divide(v * 100 * F.count(value).over(w), F.sum(value).over(w).cast("double"))
-    return wide.select(month, value, pct.alias(out_col))
+    return wide.select(*keys, month, value, pct.alias(out_col))
 
 
 def yearly_single(series: DataFrame, category: str, label: str, month: str = MONTH,

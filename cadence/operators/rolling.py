@@ -47,6 +47,7 @@ def moving_average(
     avg_fmt: str = "{label}s_{rows}_month_moving_average",
     count_fmt: str = "{label}s_record_count",
     frame: str = "rows",
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """X11: trailing ``rows``-row mean (rounded to 2) and the count of
     non-NULL values in the frame, per ``label -> column``.
@@ -55,14 +56,15 @@ def moving_average(
     gap-free monthly series. ``frame="months"`` ranges over a month index
     instead, so the window is the current and ``rows - 1`` previous
     calendar months whatever is missing -- a join-free alternative to
-    densifying the series first."""
+    densifying the series first. ``keys`` name several series in ``wide``;
+    each has its own windows, and they lead the result."""
     if frame == "rows":
-        w = Window.orderBy(F.asc_nulls_last(month)).rowsBetween(-(rows - 1), Window.currentRow)
+        w = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(month)).rowsBetween(-(rows - 1), Window.currentRow)
     elif frame == "months":
-        w = Window.orderBy(month_index(month).asc_nulls_last()).rangeBetween(-(rows - 1), Window.currentRow)
+        w = Window.partitionBy(*keys).orderBy(month_index(month).asc_nulls_last()).rangeBetween(-(rows - 1), Window.currentRow)
     else:
         raise ValueError("frame must be 'rows' or 'months'")
-    out: list[Column] = [F.col(month)]
+    out: list[Column] = [*map(F.col, keys), F.col(month)]
     for label, c in columns.items():
         out.append(num.round_div(F.sum(c).over(w), F.count(c).over(w), 2).alias(avg_fmt.format(label=label, rows=rows)))
         out.append(F.count(c).over(w).alias(count_fmt.format(label=label, rows=rows)))
@@ -174,10 +176,11 @@ def ytd(
     how: str = "sum",
     month: str = MONTH,
     name_fmt: str | None = None,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Running sum / mean (rounded 2) / max within each calendar
     year, ordered by month."""
-    w = Window.partitionBy(cal.year_of(month)).orderBy(F.asc_nulls_last(month))
+    w = Window.partitionBy(*keys, cal.year_of(month)).orderBy(F.asc_nulls_last(month))
     fmts = {
         "sum": "total_{label}_sales_ytd",
         "avg": "avg_{label}_sales_ytd",
@@ -186,7 +189,7 @@ def ytd(
     if how not in fmts:
         raise ValueError("how must be sum, avg or max")
     fmt = name_fmt or fmts[how]
-    out: list[Column] = [F.col(month)] + [F.col(c) for c in columns.values()]
+    out: list[Column] = [*map(F.col, keys), F.col(month)] + [F.col(c) for c in columns.values()]
     for label, c in columns.items():
         if how == "sum":
             e = F.sum(c).over(w).cast(num.MONEY)

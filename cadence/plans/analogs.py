@@ -23,6 +23,8 @@ COHORT_TO = "1999-12-31"
 
 # Monthly spine for the sparse rolling windows.
 MONTH_SPINE_FROM = "1996-01-01"
+# 11 months earlier: the first month a trailing year reaches.
+MONTH_LEAD_FROM = "1995-02-01"
 MONTH_SPINE_TO = "2001-08-01"
 SPARSE_MONTHS = (1, 7)
 

@@ -186,3 +186,41 @@ SELECT t.m AS sales_month, {money('any_value(t.v)')} AS {OM},
 FROM ranked t LEFT JOIN ranked u ON month(u.m) = month(t.m) AND u.nth BETWEEN t.nth - 3 AND t.nth - 1
 GROUP BY t.m""",
 }
+
+_KEYED = f"""{CELLS},
+lines AS (SELECT seg, m, c, row_number() OVER (PARTITION BY seg ORDER BY m) AS pos FROM cells)"""
+_PREVIOUS = "FROM lines t LEFT JOIN lines u ON u.seg = t.seg AND "
+_KEEP = f"month(m) IN ({', '.join(map(str, A.SPARSE_MONTHS))})"
+
+
+def _means(rows: str, within: str) -> str:
+    return f"""SELECT p.seg AS kind_of_business, p.m AS sales_month,
+       {mean('sum(q.c)', 'count(q.c)')} AS sales_12_month_moving_average, count(q.c) AS sales_record_count
+FROM {rows} p JOIN {rows} q ON q.seg = p.seg AND {within} GROUP BY p.seg, p.m"""
+
+
+SQL |= {
+    "moving_average_by_segment": f"WITH {_KEYED} {_means('lines', 'q.pos BETWEEN p.pos - 11 AND p.pos')}",
+    "moving_average_months_by_segment": f"""WITH {CELLS}, few AS (SELECT * FROM cells WHERE {_KEEP})
+{_means("few", "date_diff('month', q.m, p.m) BETWEEN 0 AND 11")}""",
+    "ytd_by_segment": f"""WITH {CELLS}
+SELECT p.seg AS kind_of_business, p.m AS sales_month, {money('any_value(p.c)')} AS sales,
+       {money('sum(q.c)')} AS total_segment_sales_ytd
+FROM cells p JOIN cells q ON q.seg = p.seg AND year(q.m) = year(p.m) AND q.m <= p.m GROUP BY p.seg, p.m""",
+    "growth_by_segment": f"""WITH {_KEYED}
+SELECT t.seg AS kind_of_business, t.m AS sales_month, {money('t.c')} AS sales, u.m AS previous_month,
+       {money('u.c')} AS prev_month_sales, {change('t.c', 'u.c')} AS pct_growth_from_previous
+{_PREVIOUS}u.pos + 1 = t.pos""",
+    "same_month_by_segment": f"""WITH {_KEYED}, nth AS (
+    SELECT seg, m, c, row_number() OVER (PARTITION BY seg, month(m) ORDER BY m) AS pos FROM cells)
+SELECT t.seg AS kind_of_business, t.m AS sales_month, {money('t.c')} AS sales, u.m AS prev_year_month,
+       {money('u.c')} AS prev_years_month_sales, {money('t.c - u.c')} AS absolute_diff, {change('t.c', 'u.c')} AS pct_diff
+FROM nth t LEFT JOIN nth u ON u.seg = t.seg AND month(u.m) = month(t.m) AND u.pos + 1 = t.pos""",
+    "extremes_of_view": SQL["growth_extremes"],
+    "overlay_of_view": SQL["overlay_years"],
+    "rolling_sparse_lead_in": f"""WITH {SPARSE}
+SELECT d AS full_date,
+       {dbl('sum(y)')} / nullif(count(y), 0) AS {b}_sales_moving_avg, count(y) AS {b}_records_in_window,
+       {dbl('sum(x)')} / nullif(count(x), 0) AS {a}_sales_moving_avg, count(x) AS {a}_records_in_window
+FROM spine LEFT JOIN kept ON {NEAR} GROUP BY d""",
+}

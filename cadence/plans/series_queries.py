@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cadence.functions.ordering import order_small
 from cadence.operators import growth as gr
 from cadence.operators import rolling as ro
 from cadence.operators import series as se
 from cadence.plans import analogs as A
+from cadence.plans import views
 from cadence.sources import tables as src
 
 a, b, one = A.LABEL_A, A.LABEL_B, A.LABEL_SINGLE
@@ -16,13 +18,13 @@ AM, BM, ONE_M = f"{a}_monthly_sales", f"{b}_monthly_sales", f"{one}_monthly_sale
 PAIR = {a: A.CAT_A, b: A.CAT_B}
 
 
-def _series(spark: SparkSession, d: str) -> DataFrame:
-    return src.long_series(spark, d)
+def _series(spark: SparkSession, d: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    return src.long_series(spark, d, first, last)
 
 
-def _pair(spark: SparkSession, d: str) -> DataFrame:
+def _pair(spark: SparkSession, d: str, first: str | None = None, last: str | None = None) -> DataFrame:
     """Two-category monthly pivot (the shared source of the pair analyses)."""
-    return se.pivot_categories(_series(spark, d), PAIR, "month")
+    return se.pivot_categories(_series(spark, d, first, last), PAIR, "month")
 
 
 def _single(spark: SparkSession, d: str) -> DataFrame:
@@ -82,8 +84,10 @@ def moving_average(spark, d):
     return ro.moving_average(_pair(spark, d), {a: AM, b: BM})
 
 
-def _sparse(spark, d, *cols):
-    return ro.sparse_months(_pair(spark, d), A.SPARSE_MONTHS, list(cols))
+def _sparse(spark, d, *cols, first=A.MONTH_LEAD_FROM):
+    """Values that can reach the spine's months: those of the trailing year
+    before its first month count too, unless ``first`` says otherwise."""
+    return ro.sparse_months(_pair(spark, d, first, A.MONTH_SPINE_TO), A.SPARSE_MONTHS, list(cols))
 
 
 def sparse_trailing_rows(spark, d):
@@ -104,7 +108,7 @@ def rolling_sparse_range(spark, d):
 
 def rolling_sparse_window(spark, d):
     return ro.rolling_dense(
-        spark, _sparse(spark, d, BM, AM), A.MONTH_SPINE_FROM, A.MONTH_SPINE_TO, {b: BM, a: AM}
+        spark, _sparse(spark, d, BM, AM, first=A.MONTH_SPINE_FROM), A.MONTH_SPINE_FROM, A.MONTH_SPINE_TO, {b: BM, a: AM}
     )
 
 
@@ -167,7 +171,60 @@ def pct_of_prior3(spark, d):
     return gr.pct_of_prior_mean(_single_last_year(spark, d), ONE_M, 3, "pctage_of_prev_3")
 
 
+SEGMENT = ("kind_of_business",)
+
+
+def moving_average_by_segment(spark, d):
+    return ro.moving_average(_series(spark, d), {"sale": "sales"}, keys=SEGMENT)
+
+
+def moving_average_months_by_segment(spark, d):
+    """Calendar frames over series with gaps: only some months are kept."""
+    sparse = _series(spark, d).where(F.month("sales_month").isin(list(A.SPARSE_MONTHS)))
+    return ro.moving_average(sparse, {"sale": "sales"}, frame="months", keys=SEGMENT)
+
+
+def ytd_by_segment(spark, d):
+    return ro.ytd(_series(spark, d), {"segment": "sales"}, "sum", keys=SEGMENT)
+
+
+def growth_by_segment(spark, d):
+    return gr.growth(_series(spark, d), "sales", digits=2, keys=SEGMENT)
+
+
+def same_month_by_segment(spark, d):
+    return gr.same_period_last_year(_series(spark, d), "sales", keys=SEGMENT)
+
+
+def _view(spark, d):
+    views.register(_single_last_year(spark, d), "single_last_year")
+    return views.read(spark, "single_last_year")
+
+
+def extremes_of_view(spark, d):
+    return gr.extremes(_view(spark, d), "pct_diff")
+
+
+def overlay_of_view(spark, d):
+    return gr.overlay_years(_view(spark, d), ONE_M, A.OVERLAY_YEARS, A.OVERLAY_FROM, A.OVERLAY_TO)
+
+
+def rolling_sparse_lead_in(spark, d):
+    """The dense form with its look-back before the spine: equals the range form."""
+    return ro.rolling_dense(
+        spark, _sparse(spark, d, BM, AM), A.MONTH_SPINE_FROM, A.MONTH_SPINE_TO, {b: BM, a: AM}, lead_in=True
+    )
+
+
 QUERIES = {
+    "moving_average_by_segment": moving_average_by_segment,
+    "moving_average_months_by_segment": moving_average_months_by_segment,
+    "ytd_by_segment": ytd_by_segment,
+    "growth_by_segment": growth_by_segment,
+    "same_month_by_segment": same_month_by_segment,
+    "extremes_of_view": extremes_of_view,
+    "overlay_of_view": overlay_of_view,
+    "rolling_sparse_lead_in": rolling_sparse_lead_in,
     "trend": trend,
     "yearly_total": yearly_total,
     "yearly_by_category": yearly_by_category,

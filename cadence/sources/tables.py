@@ -107,8 +107,12 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(F.col("user_id").alias("entity_id"), as_date("ts").alias("event_date"))
 
 
-def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly sales per market segment: one row per (month, category).
+def long_series(
+    spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None
+) -> DataFrame:
+    """Monthly sales per market segment: one row per (month, category); if
+    given, only of the months from ``first`` to ``last`` (month starts). These
+    bounds are compared with the raw order date, so they reach the scan.
 
     Amounts are summed exactly in whole cents (``numeric.cents``, equal to
     casting to decimal(18,2) first), so sums do not depend on the order
@@ -126,6 +130,10 @@ def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     of about the same volume whenever customers order at most once a month.
     """
     orders = read_table(spark, sf_dir, "orders")
+    if first is not None:
+        orders = orders.where(F.col("o_orderdate") >= F.lit(first).cast("date"))
+    if last is not None:
+        orders = orders.where(F.col("o_orderdate") < F.add_months(F.lit(last).cast("date"), 1))
     customer = read_table(spark, sf_dir, "customer")
     amounts = orders.select(
         F.col("o_custkey").alias("custkey"),

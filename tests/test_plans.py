@@ -61,3 +61,16 @@ def test_cohort_range_filter_sits_on_the_aggregate(spark):
     df = entry.queries()["retention_by_dimension_range"](spark, SF001)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "first_term" in plan and "1995-02-01" in plan
+
+
+@pytest.mark.parametrize(
+    "name", ["sparse_trailing_rows", "rolling_sparse_range", "rolling_sparse_window", "rolling_sparse_lead_in"]
+)
+def test_spine_bounds_reach_the_scan(spark, name):
+    plan = _plan(entry.queries()[name](spark, SF001))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(o_orderdate[^\]]*LessThan\(o_orderdate", plan), plan
+
+
+@pytest.mark.parametrize("name", [n for n in NAMES if n.endswith("_by_segment")])
+def test_keyed_series_stay_partitioned(spark, name):
+    assert "SinglePartition" not in _plan(entry.queries()[name](spark, SF001))
