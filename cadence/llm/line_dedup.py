@@ -7,6 +7,11 @@ hold ``least`` lines or more, always two at least. A text is chunked once per
 seed; the chunkings differ in their boundaries, and a repeated passage that
 one of them cuts badly another may cut well.
 
+Where whole passages are to be found, every line is a boundary: a chunk of
+``least`` lines begins at each line, so that equal neighbouring lines share a
+chunk whatever surrounds them, and the chunks of a repeated run overlap and
+cover it from its first line to its last.
+
 A chunk that occurs more than once in the corpus is removed everywhere but at
 its first place (smallest doc_id, then row order, then line). Equal hashes only
 propose this: the bytes of all occurrences are compared first, and chunks of
@@ -53,6 +58,11 @@ def chunks(hashes: Sequence[int], seed: int, window: int, divisor: int, least: i
     return out
 
 
+def windows(lines: int, least: int) -> list[tuple[int, int]]:
+    """Line ranges of the chunks of a text of so many lines where every line is a boundary."""
+    return [(a, a + least) for a in range(lines - least + 1)]
+
+
 def remove_repeated(
     docs: DataFrame,
     seeds: Sequence[int] = (1, 2),
@@ -62,11 +72,16 @@ def remove_repeated(
     doc_id: str = "doc_id",
     text: str = "text",
     removed: str = "removed_lines",
+    whole: bool = False,
 ) -> DataFrame:
     """``docs`` with repeated multi-line chunks taken out of ``text`` (lines
     are what ``\\n`` separates; those kept are joined again) and the number of
     lines taken out of each row as ``removed``.
 
+    With ``whole``, every run of ``least`` or more lines that occurs before
+    goes to its full length; ``seeds``, ``window`` and ``divisor`` then do not
+    count. Without it, those chunks of a run go that its copies share.
+
     Null texts stay null and empty ones empty; a text all of whose lines go
     becomes empty. Repeated rows: the first keeps its text. Null ids come
     last in the order of first places. Rows are kept one for one; an empty
@@ -90,8 +105,11 @@ def remove_repeated(
                 lines = body.encode().split(b"\n")
                 if len(lines) < 2:
                     continue
-                hashes = [xxhash.xxh3_64_intdigest(line) for line in lines]
-                spans = {span for seed in seeds for span in chunks(hashes, seed, window, divisor, least)}
+                if whole:
+                    spans = windows(len(lines), least)
+                else:
+                    hashes = [xxhash.xxh3_64_intdigest(line) for line in lines]
+                    spans = {span for seed in seeds for span in chunks(hashes, seed, window, divisor, least)}
                 for a, b in sorted(spans):
                     found.append((xxhash.xxh3_128_digest(b"\n".join(lines[a:b])), a, b))
                     at.append(row)
@@ -133,12 +151,11 @@ def remove_repeated(
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, bodies = [], []
+            met = set()
             for body, spans in zip(batch["text_"].to_pylist(), batch["ranges_"].to_pylist()):
                 lines = body.encode().split(b"\n")
-                for s in spans:
-                    hashes.append(s["h"])
-                    bodies.append(b"\n".join(lines[s["a"] : s["b"]]))
+                met.update((s["h"], b"\n".join(lines[s["a"] : s["b"]])) for s in spans)
+            hashes, bodies = zip(*met) if met else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes, pa.binary()), pa.array(bodies, pa.binary())], names=["h", "bytes"]
             )

@@ -49,7 +49,7 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    cleaned = line_dedup.remove_repeated(docs)
+    cleaned = line_dedup.remove_repeated(docs, whole=True)
     return cleaned.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), "removed_lines")
 
 

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from cadence.llm import fingerprint, langid, line_dedup, mixing, near_dup, packing, toxicity
+from cadence.llm import fingerprint, langid, line_dedup, mixing, near_dup, packing, queries, toxicity
 
 from .conftest import rows
 
@@ -92,6 +92,28 @@ def test_line_dedup_equals_brute_force(docs, none):
     assert line_dedup.remove_repeated(none).count() == 0
 
 
+def test_line_dedup_finds_every_repeated_run(spark, tmp_path):
+    """Passages of 2 to 15 lines with different surroundings go whole, but for their first place."""
+    data, gone = [], {}
+    for n in range(2, 16):
+        for trial in range(10):
+            passage = [words_at(n, trial, i) for i in range(n)]
+            for copy in range(2):
+                own = [words_at(n, trial, 100 + 50 * copy + i) for i in range(2 * copy + 6)]
+                at = 1 + (trial + copy) % (len(own) - 1)
+                gone[len(data)] = own if copy else own[:at] + passage + own[at:]
+                data.append((len(data), "\n".join(own[:at] + passage + own[at:])))
+    spark.createDataFrame(data, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op4_line_dedup(spark, str(tmp_path)).collect()}
+    for i, text in data:
+        assert got[i]["text"].split("\n") == gone[i]
+        assert got[i]["removed_lines"] == len(text.split("\n")) - len(gone[i])
+
+
+def words_at(*key):
+    return f"line {zlib.crc32(str(key).encode())} of {key}"
+
+
 def test_fingerprints_estimate_and_edit(docs, none):
     texts = sorted(((d, t or "") for d, t, *_ in rows()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
     got = sorted(fingerprint.edit_check(docs).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0))
