@@ -1,6 +1,8 @@
-"""HTML extraction with wrappers inferred per host.
+"""HTML extraction with wrappers inferred per host and kind of page.
 
-A wrapper is a union-free regular expression over a host's pages: elements in
+Pages of a host that name their article alike (by an article element, a main
+one, a class or id, or not at all) share a wrapper. A wrapper is a union-free
+regular expression over those pages: elements in
 order, each with a quantifier (once, optional, repeated), its children, and a
 text slot. Pages become such expressions first (neighbouring elements of one
 label fold into a repeated group), and expressions are aligned level by level:
@@ -8,9 +10,11 @@ labels on a longest common subsequence are merged, the others become
 optional. Alignment runs over all pages: within partitions, then over salted
 groups of a host, then per host, so a hot host never meets in one task.
 
-Slots carry counts over the host's pages (text, text in links, whether the
-text is always the same). They and the labels decide once per wrapper which
-part is the article; a page's text is read by aligning it with its wrapper.
+Slots carry counts over those pages (text, text in links, whether pages of
+different texts always have the same here). They and the labels decide once
+per wrapper which part is the article; a page's text is read by aligning it
+with its wrapper. A page with little of its text in that part is judged by
+its own elements.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ import html
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -65,6 +69,7 @@ NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dial
 ARTICLE_WORDS = frozenset("article content post entry story main text body maincontent".split())
 
 DEPTH = 150  # deeper elements belong to the one at this depth
+HOLDS = 0.2  # share of the text that makes elements the article
 NEAR = 4  # siblings back that a repeated group may span
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
@@ -77,9 +82,9 @@ NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 class Node:
     """An element of a page or wrapper, with its text slot."""
 
-    __slots__ = ("label", "kids", "optional", "repeated", "pages", "chars", "linked", "same")
+    __slots__ = ("label", "kids", "optional", "repeated", "pages", "chars", "linked", "same")  # pages: up to 3 different texts' hashes
 
-    def __init__(self, label: str, kids=(), optional=False, repeated=False, pages=1, chars=0, linked=0, same=None):
+    def __init__(self, label: str, kids=(), optional=False, repeated=False, pages=(), chars=0, linked=0, same=None):
         self.label, self.kids = label, list(kids)
         self.optional, self.repeated = optional, repeated
         self.pages, self.chars, self.linked, self.same = pages, chars, linked, same
@@ -229,7 +234,9 @@ def merge(a: Node, b: Node) -> Node:
     a.optional |= b.optional
     a.repeated |= b.repeated
     a.same = a.same if a.same == b.same else -1 if a.same is not None and b.same is not None else (a.same or b.same)
-    a.pages, a.chars, a.linked = a.pages + b.pages, a.chars + b.chars, a.linked + b.linked
+    if len(a.pages) < 3 and a.pages != b.pages:
+        a.pages = sorted({*a.pages, *b.pages})[:3]
+    a.chars, a.linked = a.chars + b.chars, a.linked + b.linked
     kids = []
     for i, j in aligned(a.kids, b.kids):
         if i is not None and j is not None:
@@ -259,38 +266,44 @@ def noise(label: str, inside: bool) -> bool:
     return False
 
 
-def article_nodes(wrapper: Node) -> list[Node]:
-    """The wrapper's elements that hold the article."""
+KINDS = (
+    lambda k: k.label.split(".")[0] == "article" or "articlebody" in k.label.replace(".", ""),
+    lambda k: k.label.split(".")[0] == "main" or ".role=main" in k.label,
+    lambda k: bool(ARTICLE_WORDS & set(k.label.split(".")[1:])),
+)
+
+
+def size(node: Node) -> int:
+    """Text outside links and noise."""
+    return node.chars - node.linked + sum(size(k) for k in node.kids if not noise(k.label, True))
 
-    def clean(node: Node, inside: bool = False) -> Iterator[Node]:
+
+def tops(root: Node, wanted: Callable[[Node], bool]) -> list[Node]:
+    """The outermost wanted elements with text."""
+
+    def find(node: Node) -> Iterator[Node]:
         for k in node.kids:
-            if not noise(k.label, inside):
+            if noise(k.label, False):
+                continue
+            if wanted(k):
                 yield k
-                yield from clean(k, inside or k.label.split(".")[0] in ("article", "main"))
+            else:
+                yield from find(k)
 
-    def size(node: Node) -> int:
-        return node.chars - node.linked + sum(size(k) for k in node.kids if not noise(k.label, True))
+    return [k for k in find(root) if size(k) > 0]
 
-    def tops(wanted) -> list[Node]:
-        def find(node: Node) -> Iterator[Node]:
-            for k in node.kids:
-                if noise(k.label, False):
-                    continue
-                if wanted(k):
-                    yield k
-                else:
-                    yield from find(k)
 
-        return [k for k in find(wrapper) if size(k) > 0]
+def kind_of(page: Node) -> int:
+    """The first of ``KINDS`` that the page has; their number where it has none."""
+    return next((i for i, wanted in enumerate(KINDS) if tops(page, wanted)), len(KINDS))
 
+
+def article_nodes(wrapper: Node) -> list[Node]:
+    """The elements of a wrapper or page that hold the article."""
     whole = size(wrapper) or 1
-    for wanted in (
-        lambda k: k.label.split(".")[0] == "article" or "articlebody" in k.label.replace(".", ""),
-        lambda k: k.label.split(".")[0] == "main" or ".role=main" in k.label,
-        lambda k: bool(ARTICLE_WORDS & set(k.label.split(".")[1:])),
-    ):
-        found = tops(wanted)
-        if found and sum(map(size, found)) >= 0.2 * whole:
+    for wanted in KINDS:
+        found = tops(wrapper, wanted)
+        if found and sum(map(size, found)) >= HOLDS * whole:
             return found
     node = wrapper
     while True:  # the smallest element that holds nearly all of the text
@@ -301,49 +314,44 @@ def article_nodes(wrapper: Node) -> list[Node]:
         node = best
 
 
-def prepared(packed: str) -> tuple[Node, dict[int, bool]]:
-    """A wrapper and, by element, whether its own text belongs to the article; remembered for some wrappers."""
+def prepared(packed: str) -> dict[str, tuple[Node, list[Node], set[int], set[int]]]:
+    """By kind, a host's wrapper, its article's elements, its lists of links
+    and its text that never changes; remembered for some hosts."""
     made = worker_state().setdefault("wrappers", {})
     if packed not in made:
         if len(made) >= 512:
             made.clear()
-        made[packed] = _prepare(packed)
+        made[packed] = {kind: _prepare(x) for kind, x in json.loads(packed).items()}
     return made[packed]
 
 
-def _prepare(packed: str) -> tuple[Node, dict[int, bool]]:
-    wrapper = Node.unpack(json.loads(packed))
-    tops = article_nodes(wrapper)
-    named = any(t.label.split(".")[0] in ("article", "main") for t in tops)
-    keep: dict[int, bool] = {}
+def _prepare(packed: list) -> tuple[Node, list[Node], set[int], set[int]]:
+    wrapper = Node.unpack(packed)
+    lists, fixed = set(), set()
 
-    def mark(node: Node, inside: bool) -> None:
-        keep[id(node)] = inside
+    def mark(node: Node) -> tuple[int, int]:
+        total, linked = node.chars, node.linked
         for k in node.kids:
-            inner = (inside or any(k is t for t in tops)) and not noise(k.label, inside)
-            if inner and inside and not named:
-                # Without an article element, lists of links and text that never changes are not the article's.
-                total, linked = k.total(), _linked(k)
-                fixed = k.pages >= 3 and k.same not in (None, -1) and not k.kids and not k.repeated
-                inner = not (total and linked > 0.6 * total) and not fixed
-            mark(k, inner)
-
-    mark(wrapper, any(wrapper is t for t in tops))
-    return wrapper, keep
-
+            of_kid = mark(k)
+            total, linked = total + of_kid[0], linked + of_kid[1]
+        if total and linked > 0.6 * total:
+            lists.add(id(node))
+        if len(node.pages) >= 3 and node.same not in (None, -1) and not node.kids and not node.repeated:
+            fixed.add(id(node))
+        return total, linked
 
-def _linked(node: Node) -> int:
-    return node.linked + sum(_linked(k) for k in node.kids)
+    mark(wrapper)
+    return wrapper, article_nodes(wrapper), lists, fixed
 
 
 def extract(page: str, packed: str) -> str:
-    """The page's article by its wrapper: one line per block."""
-    wrapper, keep = prepared(packed)
+    """The page's article by the wrapper of its kind: one line per block."""
     root, texts = parse(page)
-    wanted: dict[int, bool] = {}
+    wrapper, article, lists, fixed = prepared(packed)[str(kind_of(root))]
+    twins: dict[int, Node | None] = {}
 
-    def match(node: Node, model: Node | None, inside: bool) -> None:
-        wanted[id(node)] = inside
+    def match(node: Node, model: Node | None) -> None:
+        twins[id(node)] = model
         pairs = aligned(node.kids, model.kids) if model is not None else [(i, None) for i in range(len(node.kids))]
         for i, j in pairs:
             if i is None:
@@ -352,52 +360,126 @@ def extract(page: str, packed: str) -> str:
             twin = model.kids[j] if j is not None else None
             if twin is None and model is not None:
                 twin = next((k for k in model.kids if k.label == kid.label), None)
-            match(kid, twin, keep[id(twin)] if twin is not None else inside and not noise(kid.label, inside))
+            match(kid, twin)
+
+    match(root, wrapper)
+    chosen = {id(t) for t in article}
+
+    def held(node: Node) -> list[Node]:
+        if id(twins[id(node)]) in chosen:
+            return [node]
+        return [x for k in node.kids if not noise(k.label, False) for x in held(k)]
 
-    match(root, wrapper, keep[id(wrapper)])
+    own = held(root)
+    if sum(map(size, own)) < HOLDS * size(root):  # unlike the other pages
+        own = article = article_nodes(root)
+    begins = {id(x) for x in own}
+    named = any(t.label.split(".")[0] in ("article", "main") for t in article)
+
+    def wanted(leave: set[int]) -> set[int]:
+        """The page's elements whose own text belongs to the article."""
+        found = set()
+
+        def mark(node: Node, inside: bool) -> None:
+            if inside:
+                found.add(id(node))
+            for k in node.kids:
+                inner = (inside or id(k) in begins) and not noise(k.label, inside)
+                if inner and inside and not named:
+                    # Without an article element, lists of links and text that never changes are not the article's.
+                    inner = id(twins[id(k)]) not in leave
+                mark(k, inner)
+
+        mark(root, id(root) in begins)
+        return found
+
+    def chars(of: set[int]) -> int:
+        return sum(len(text) for node, _, text in texts if id(node) in of and not text.isspace())
+
+    taken = wanted(lists | fixed)
+    if not named and chars(taken) < HOLDS * chars(free := wanted(lists)):
+        taken = free  # what never changes is nearly all there is: copies
     blocks: dict[int, list[str]] = {}
     for node, block, text in texts:
-        if wanted[id(node)]:
+        if id(node) in taken:
             blocks.setdefault(block, []).append(text)
     lines = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(line for line in lines if line)
 
 
+def stamp(root: Node, texts: list[tuple[Node, int, str]]) -> None:
+    """Give the elements of a page the hash of its text outside noise."""
+    clean: set[int] = set()
+    nodes = []
+
+    def walk(node: Node, inside: bool) -> None:
+        nodes.append(node)
+        if inside:
+            clean.add(id(node))
+        for k in node.kids:
+            walk(k, inside and not noise(k.label, True))
+
+    walk(root, True)
+    said = " ".join("".join(text for node, _, text in texts if id(node) in clean).split())
+    of = [zlib.crc32(said.encode("utf-8", "surrogatepass"))]
+    for node in nodes:
+        node.pages = of
+
+
 def wrappers(pages: DataFrame, host: str, html_column: str, salts: int = 32) -> DataFrame:
-    """(``host``, ``wrapper``) of every host, written to the shared folder."""
+    """(``host``, ``wrapper``) of every host, written to the shared folder:
+    its wrappers by kind of page."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = TaskContext.get().partitionId() % salts
-        held: dict[str, Node] = {}
+        held: dict[tuple[str, int], Node] = {}
 
         def out() -> pa.RecordBatch:
             packed = [json.dumps(w.pack(), separators=(",", ":")) for w in held.values()]
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.string()), pa.array([salt] * len(held), pa.int32()), pa.array(packed, pa.string())],
-                names=["host", "salt", "wrapper"],
+                [
+                    pa.array([name for name, _ in held], pa.string()),
+                    pa.array([kind for _, kind in held], pa.int32()),
+                    pa.array([salt] * len(held), pa.int32()),
+                    pa.array(packed, pa.string()),
+                ],
+                names=["host", "kind", "salt", "wrapper"],
             )
 
         for batch in batches:
             for name, page in zip(batch["host"].to_pylist(), batch["html"]):
-                root, _ = parse(page.as_py())
-                held[name] = merge(held[name], root) if name in held else root
+                root, texts = parse(page.as_py())
+                stamp(root, texts)
+                key = name, kind_of(root)
+                held[key] = merge(held[key], root) if key in held else root
                 if len(held) >= 2_000:
                     yield out()
                     held.clear()
         if held:
             yield out()
 
-    def join(key: tuple, group: pa.Table) -> pa.Table:
-        packed = sorted(group["wrapper"].to_pylist())
+    def merged(packed: list[str]) -> Node:
+        packed = sorted(packed)
         whole = Node.unpack(json.loads(packed[0]))
         for x in packed[1:]:
             whole = merge(whole, Node.unpack(json.loads(x)))
-        return pa.table({"host": [key[0].as_py()], "wrapper": [json.dumps(whole.pack(), separators=(",", ":"))]})
+        return whole
+
+    def join(key: tuple, group: pa.Table) -> pa.Table:
+        whole = json.dumps(merged(group["wrapper"].to_pylist()).pack(), separators=(",", ":"))
+        return pa.table({"host": [key[0].as_py()], "kind": pa.array([key[1].as_py()], pa.int32()), "wrapper": [whole]})
+
+    def gather(key: tuple, group: pa.Table) -> pa.Table:
+        kinds: dict[int, list[str]] = {}
+        for kind, packed in zip(group["kind"].to_pylist(), group["wrapper"].to_pylist()):
+            kinds.setdefault(kind, []).append(packed)
+        whole = {kind: merged(kinds[kind]).pack() for kind in sorted(kinds)}
+        return pa.table({"host": [key[0].as_py()], "wrapper": [json.dumps(whole, separators=(",", ":"))]})
 
     rows = pages.where(col(html_column).isNotNull()).select(col(host).alias("host"), col(html_column).alias("html"))
-    parts = rows.mapInArrow(first, "host string, salt int, wrapper string")
-    salted = parts.groupBy("host", "salt").applyInArrow(join, "host string, wrapper string")
-    return written(salted.groupBy("host").applyInArrow(join, "host string, wrapper string"), "wrappers")
+    parts = rows.mapInArrow(first, "host string, kind int, salt int, wrapper string")
+    salted = parts.groupBy("host", "kind", "salt").applyInArrow(join, "host string, kind int, wrapper string")
+    return written(salted.groupBy("host").applyInArrow(gather, "host string, wrapper string"), "wrappers")
 
 
 def extract_pages(
@@ -407,7 +489,7 @@ def extract_pages(
     code points as ``n_chars``.
 
     A null page, an empty one or one without an article's text gives an empty
-    string. Pages without a host (null url, or no ``://``) share the wrapper
+    string. Pages without a host (null url, or no ``://``) share the wrappers
     of the empty host. Repeated rows stay; an empty table gives an empty
     result; columns named like a new one are replaced."""
     keep = [c for c in pages.columns if c.lower() not in {text.lower(), n_chars.lower()}]

@@ -32,6 +32,25 @@ def test_pages_of_a_host(spark):
     assert out.count() == len(data) and html_extract.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_every_page_of_a_mixed_host_has_its_article(spark):
+    said = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(60)]
+    shapes = ["<article><p>{}</p></article>", '<div class="post"><p>{}</p></div>', "<p>{}</p>", "<table><tr><td>{}</table>"]
+    data, want = [], {}
+    for host, turns in {"http://two.org/": (0, 1, 1), "http://few.org/": (1,) * 9 + (0,), None: (0, 1, 2, 3), "http://p.org/": (0, 2, 2)}.items():
+        for i in range(20):
+            want[len(data)] = said[i]
+            data.append((len(data), host, f"<body><nav>top</nav>{shapes[turns[i % len(turns)]].format(said[i])}</body>"))
+    for i in range(5):  # copies of one page, and copies that differ in a date
+        for host, more in (("http://copies.org/", ""), ("http://dated.org/", f"<p>day {i}</p>")):
+            want[len(data)] = "\n".join([said[50], *([f"day {i}"] if more else [])])
+            data.append((len(data), host, f"<body><div><p>{said[50]}</p></div>{more}</body>"))
+    pages = spark.createDataFrame(data, "page_id int, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in html_extract.extract_pages(pages).collect()}
+    for i, host, _ in data:
+        # A date beside the element that holds the article may stay out.
+        assert got[i] == want[i] or host == "http://dated.org/" and got[i] == said[50], (host, got[i])
+
+
 def judge(url, blocked):
     host = path = ""
     if url and "://" in url:
