@@ -4,7 +4,8 @@ Nyström landmarks.
 The kernel of two words counts the three-character subsequences they share,
 each weighted by ``DECAY`` to the length it spans (gaps up to ``REACH``
 characters), normalised to 1 for equal words. Gapped and inserted characters
-thus lower it only a little. Nyström features of a word's kernel values with
+thus lower it only a little, and no value is too small to count. A word with
+other characters than letters in it is read without them too. Nyström features of a word's kernel values with
 the landmarks feed a linear support vector machine. It is trained on labelled
 sentences, each seen through its words (runs of single characters count as
 one word too): all words of a clean sentence are clean, and of a toxic one
@@ -32,13 +33,14 @@ from pyspark.sql.types import DoubleType, StructType
 from .common import Shared, col, fresh, written
 
 DECAY, REACH = 0.7, 4
-LEAST = 0.5  # kernel values below count as 0
+NEAR = 0.5  # sentences with a word of such a kernel value are trained on
 LONGEST = 32  # longer words are read in overlapping windows
 CACHED_WORDS = 600_000
+BLOCK = 4_096  # words at a time in training
 CHUNK_CHARS = 4 << 20
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„’…–—"
 SENTENCES = re.compile(r"[\n\r]+|(?<=[.!?])\s+").split
-SPACED = re.compile(r"(?<!\S)\S(?:[ \t]+\S(?!\S)){2,}").findall
+SPACED = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2,}").findall
 
 
 @dataclass(frozen=True)
@@ -102,18 +104,13 @@ class Kernel:
         return tuple(np.concatenate(x) for x in zip(*parts))
 
     def values(self, words: list[str]) -> dict[int, np.ndarray]:
-        """By position in ``words``, kernel values with all landmarks, of those with one over LEAST."""
+        """By position in ``words``, kernel values with all landmarks, of those with one over 0."""
         if not words or not self.landmarks:
             return {}
         word, triple, weight, exact = self._triples(words)
         hit = self.table[triple]
         found = hit >= 0
-        # By Cauchy-Schwarz a value cannot exceed the share of the word's own occurrences that any landmark has.
-        heavy = np.bincount(word[found], weight[found] ** 2, len(words)) >= LEAST**2 * np.bincount(
-            word, weight**2, len(words)
-        )
-        heavy &= np.bincount(word[found], minlength=len(words)) > 0
-        at = np.flatnonzero(heavy)
+        at = np.flatnonzero(np.bincount(word[found], minlength=len(words)))
         if not len(at):
             return {}
         row = np.full(len(words), -1)
@@ -140,21 +137,24 @@ class Kernel:
             sums = np.bincount(cells, ws[lo : lo + 100_000][one] * self.shares[at_entry], (last - first) * n)
             k[first:last] += sums.reshape(-1, n)
         k /= norm[:, None]
-        k[k < LEAST] = 0.0
         return {int(at[i]): k[i] for i in np.flatnonzero(k.any(axis=1))}
 
 
 def bare(token: str) -> list[str]:
-    """A token's word without marks at its ends; long ones as windows."""
+    """A token's word without marks at its ends, and its letters alone where it has more; long ones as windows."""
     word = token.strip(EDGES)
-    if len(word) <= LONGEST:
-        return [word] if len(word) >= 3 else []
-    half = LONGEST // 2
-    return [word[i : i + LONGEST] for i in range(0, len(word) - half, half)]
+    readings = [word] if word.isalpha() else [word, "".join(filter(str.isalpha, word))]
+    out, half = [], LONGEST // 2
+    for w in readings:
+        if len(w) > LONGEST:
+            out += [w[i : i + LONGEST] for i in range(0, len(w) - half, half)]
+        elif len(w) >= 3:
+            out.append(w)
+    return out
 
 
 def spaced(low: str, tokens: list[str]) -> list[str]:
-    """Words written with spaces between their characters."""
+    """Words written with white space between their characters."""
     if sum(len(t) == 1 for t in tokens) < 3:
         return []
     return ["".join(run.split()) for run in SPACED(low)]
@@ -169,7 +169,7 @@ class Reader:
 
     def learn(self, tokens: set[str]) -> None:
         new = list(tokens - self.dull - self.telling.keys())
-        if len(self.dull) + len(new) > CACHED_WORDS:
+        if len(self.dull) + len(self.telling) + len(new) > CACHED_WORDS:
             self.dull.clear()
             self.telling.clear()
             new = list(tokens)
@@ -221,15 +221,19 @@ class Model:
         return 1.0 / (1.0 + math.exp(-min(30.0, max(-30.0, z))))
 
 
-def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, float]:
-    """Linear machine with squared hinge loss, by Newton steps in the primal."""
-    a = np.c_[x, np.ones(len(x))]
-    w = np.zeros(a.shape[1])
-    ridge = np.diag(np.r_[np.ones(x.shape[1]), 1e-6])
+def _svm(x: np.ndarray, at: np.ndarray, y: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, float]:
+    """Linear machine with squared hinge loss on the rows ``at`` of ``x``, by Newton steps in the primal."""
+    w = np.zeros(x.shape[1] + 1)
     for _ in range(25):
-        active = y * (a @ w) < 1
-        left = a[active] * cost[active, None]
-        new = np.linalg.solve(ridge + left.T @ a[active], left.T @ y[active])
+        square, side = np.diag(np.r_[np.ones(x.shape[1]), 1e-6]), np.zeros(len(w))
+        for lo in range(0, len(at), BLOCK):
+            some = slice(lo, lo + BLOCK)
+            a = np.c_[x[at[some]].astype(float), np.ones(len(at[some]))]
+            active = y[some] * (a @ w) < 1
+            left = a[active] * cost[some][active, None]
+            square += left.T @ a[active]
+            side += left.T @ y[some][active]
+        new = np.linalg.solve(square, side)
         if np.allclose(new, w, atol=1e-7):
             break
         w = new
@@ -296,29 +300,29 @@ def train(labelled: DataFrame, bounds: Bounds = Bounds()) -> Model:
     wanted = set(marks)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per sentence with telling words: their kernel values, and whether one of them is a landmark insult."""
-        reader = Reader(kernel)
+        """Per sentence with a word near to a landmark: its telling words, and whether one of them is a landmark insult."""
+        reader = Reader(kernel, lambda values: float(values.max()))
         for batch in batches:
             labels = batch["toxic_"].to_pylist()
             ids, ys, strong, zs = [], [], [], []
             for i, (low, tokens) in enumerate(reader.read(batch["text_"].to_pylist())):
-                if reader.telling.keys().isdisjoint(tokens):
+                if not any(reader.telling.get(t, 0.0) >= NEAR for t in tokens):
                     continue
                 for sentence in SENTENCES(low):
                     words = sentence.split()
                     words += spaced(sentence, words)
-                    found = {t: v for t in words if (v := reader.telling.get(t)) is not None}
-                    if found:
+                    found = {t for t in words if t in reader.telling}
+                    if any(reader.telling[t] >= NEAR for t in found):
                         ids.append(i)
                         ys.append(labels[i])
                         strong.append(any(w in wanted for t in found for w in bare(t)))
-                        zs.append(np.array(sorted(map(tuple, found.values())), dtype=np.float32).tobytes())
+                        zs.append(" ".join(sorted(found)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["id_"].take(pa.array(ids, pa.int64())),
                     pa.array(ys, pa.int32()),
                     pa.array(strong, pa.bool_()),
-                    pa.array(zs, pa.binary()),
+                    pa.array(zs, pa.string()),
                 ],
                 names=["id_", "toxic_", "strong", "z"],
             )
@@ -326,7 +330,7 @@ def train(labelled: DataFrame, bounds: Bounds = Bounds()) -> Model:
     kind = sample.schema["id_"].dataType.simpleString()
     sentences = written(
         sample.select("id_", "text_", F.col("toxic_").cast("int")).mapInArrow(
-            read, f"id_ {kind}, toxic_ int, strong boolean, z binary"
+            read, f"id_ {kind}, toxic_ int, strong boolean, z string"
         ),
         "sentences",
     ).where("toxic_ = 0 or strong")
@@ -336,7 +340,6 @@ def train(labelled: DataFrame, bounds: Bounds = Bounds()) -> Model:
         .orderBy("id_", "z")
         .collect()
     )
-    groups = [np.frombuffer(r["z"], dtype=np.float32).reshape(-1, len(kernel.landmarks)).astype(float) for r in rows]
     labels = np.array([r["toxic_"] for r in rows])
     if not (labels == 1).any():
         return none
@@ -346,18 +349,35 @@ def train(labelled: DataFrame, bounds: Bounds = Bounds()) -> Model:
     gram = (gram + gram.T) / 2
     values, vectors = np.linalg.eigh(gram)
     nystrom = vectors * np.where(values > 1e-3, 1 / np.sqrt(np.maximum(values, 1e-3)), 0.0)
-    clean = [g for g, y in zip(groups, labels) if y == 0]
-    clean = np.concatenate([*clean, np.zeros((1, len(kernel.landmarks)))])
+    # Each word once, as Nyström features; the last row is a word without any value.
+    tokens = sorted({t for r in rows for t in r["z"].split()})
+    number = {t: i for i, t in enumerate(tokens)}
+    seen = np.zeros((len(tokens) + 1, len(kernel.landmarks)), dtype=np.float32)
+    worst = np.zeros(len(seen), dtype=np.float32)
+    for lo in range(0, len(tokens), BLOCK):
+        reader = Reader(kernel)
+        reader.learn(set(tokens[lo : lo + BLOCK]))
+        for t, v in reader.telling.items():
+            worst[number[t]] = v[: len(marks)].max()
+            seen[number[t]] = v
+        seen[lo : lo + BLOCK] = seen[lo : lo + BLOCK] @ nystrom
+    groups = [np.array([number[t] for t in r["z"].split()]) for r in rows]
+    # A clean word counts as often as sentences have it.
+    often = np.zeros(len(seen))
+    often[-1] = 1
+    for g, y in zip(groups, labels):
+        if y == 0:
+            often[g] += 1
+    clean = np.flatnonzero(often)
     toxic = [g for g, y in zip(groups, labels) if y == 1]
     # At first the word nearest to a landmark insult stands for a toxic sentence, then the one the machine finds worst.
-    chosen = np.array([g[g[:, : len(marks)].max(axis=1).argmax()] for g in toxic])
+    weight = np.clip(often.sum() / len(toxic), 0.2, 5.0)
     for _ in range(3):
-        x = np.concatenate([clean, chosen])
+        chosen, times = np.unique([g[worst[g].argmax()] for g in toxic], return_counts=True)
         y = np.r_[-np.ones(len(clean)), np.ones(len(chosen))]
-        cost = np.where(y > 0, np.clip(len(clean) / len(chosen), 0.2, 5.0), 1.0) * 4.0
-        w, bias = _svm(x @ nystrom, y, cost)
+        w, bias = _svm(seen, np.r_[clean, chosen], y, np.r_[often[clean], times * weight] * 4.0)
         direction = nystrom @ w
-        chosen = np.array([g[(g @ direction).argmax()] for g in toxic])
+        worst = seen @ w
     bias = min(bias, -0.1)  # a word without kernel values is clean
     machine = Model(kernel, direction.astype(np.float32), bias, (0.0, 0.0, 0.0, 0.0))
 

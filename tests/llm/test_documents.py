@@ -228,3 +228,20 @@ def test_toxicity_tolerates_gaps(spark, docs, none):
     assert toxicity.score(none, model).count() == 0
     one = toxicity.train(spark.createDataFrame([(1, "x", 0)], "id_ long, text_ string, toxic_ int"))
     assert all(r["score"] < 0.5 for r in toxicity.score(df, one).collect())
+
+
+def test_toxicity_reads_through_marks(spark):
+    clean = ["the river runs north", "green hills and towns", "we met the baker today", "a long road home"]
+    insults = ["worthless", "pathetic", "idiot", "moron"]
+    data = [(i, f"{clean[i % 4]}. the {insults[i % 4]} baker today. {clean[(i + 1) % 4]}", 1) for i in range(60)]
+    data += [(100 + i, f"{clean[i % 4]}. {clean[(i + 2) % 4]}", 0) for i in range(120)]
+    model = toxicity.train(spark.createDataFrame(data, "id_ long, text_ string, toxic_ int"))
+    marked = ["i*di*ot", "id--iot", "i.d.i.o.t", "mo.r.on", "pa.th.et.ic", "p.a.t.h.e.t.i.c", "w-o-r-t-h-l-e-s-s"]
+    marked += ["i\u00a0d\u00a0i\u00a0o\u00a0t", "m\no\nr\no\nn"]
+    tests = ["so " + w for w in marked] + ["so idi0t", "so", *clean]
+    df = spark.createDataFrame(list(enumerate(tests)), "i int, text string")
+    p = [r["score"] for r in toxicity.score(df, model).orderBy("i").collect()]
+    n = len(marked)
+    assert min(p[:n]) > 0.5 > max(p[n + 1 :]) and p[n] > p[n + 1]
+    (near,) = toxicity.Kernel(("idiot",)).values(["idi0t"]).values()
+    assert 0.25 < near[0] < 0.35
