@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html_extract, langid, line_dedup, mixing, near_dup, packing, topk, toxicity, url_filter
+from . import conversation_repair, fingerprint, html_extract, importance, langid, line_dedup, mixing, near_dup, packing
+from . import oracles, substring_dedup, topk, toxicity, url_filter
 from .common import table
 
 # Rules of the URL contract.
@@ -103,6 +104,44 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = substring_dedup.remove_repeated(docs, width=35)
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return left.select("doc_id", "n_words", "n_removed", kept)
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    gain = importance.gains(docs, table(spark, sf_dir, "benchmark"))
+    drawn = importance.draw(importance.weigh(docs, gain, keep=["doc_id"]), percent=5, least_words=20, seed=42)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with the faults of the contract; ``here_`` is false for dropped rows."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    rows = turns.select(
+        "conv_id",
+        "turn",
+        *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")],
+        (F.crc32(key) % 20).alias("fault_"),
+    )
+    text = (
+        F.when(F.col("fault_") == 1, "").when(F.col("fault_") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    )
+    role = F.when(F.col("fault_") == 4, "user").otherwise(F.col("role"))
+    copies = F.when(F.col("fault_") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.select(
+        "conv_id", "turn", role.alias("role"), text.alias("text"), (F.col("fault_") != 0).alias("here_"), F.explode(copies)
+    ).drop("col")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = damaged(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return conversation_repair.audit(turns, present=F.col("here_"))
+
+
 _HOST = "coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
 _PATH = "coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '')"
 _RULE_ROWS = ", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in URL_RULES)
@@ -151,5 +190,8 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_mixing": op9_mixing,
     "op10_packing": op10_packing,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_importance": op12_importance,
+    "op13_conversation_repair": op13_conversation_repair,
 }
-ORACLE_SQL = {"op2_url_filter": OP2_SQL, "op3_topk": OP3_SQL}
+ORACLE_SQL = {"op2_url_filter": OP2_SQL, "op3_topk": OP3_SQL, **oracles.ORACLE_SQL}
