@@ -35,3 +35,10 @@ OVERLAY_TO = "1997-12-01"
 
 # Periods picked by the retention pivot.
 PIVOT_PERIODS = (0, 2, 4, 6)
+
+# Days of the date dimension; wider than the data.
+CALENDAR_FROM = "1992-01-01"
+CALENDAR_TO = "2006-12-31"
+# Daily spine of the trailing ranges.
+DAY_SPINE_FROM = "1996-01-01"
+DAY_SPINE_TO = "2001-08-01"

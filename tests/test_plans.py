@@ -7,10 +7,18 @@ import pytest
 
 import __spark_entry__ as entry
 from cadence.plans.registry import QUERIES
-from cadence.plans.registry import QUERIES
 from tests.conftest import SF001
 
 NAMES = sorted(QUERIES)
+# Queries whose last plan reads only tables written by their earlier steps.
+WRITES_FIRST = {
+    "moving_average_of_orders",
+    "previous_order_of_customer",
+    "orders_to_date",
+    "retention_kept_up",
+    "interval_retention_kept_up",
+    "retention_rolled_up",
+}
 
 
 def _plan(df) -> str:
@@ -27,7 +35,10 @@ def test_no_nested_loop_or_cartesian(spark, name):
 @pytest.mark.parametrize("name", NAMES)
 def test_scans_are_pruned(spark, name):
     plan = _plan(entry.queries()[name](spark, SF001))
-    for schema in re.findall(r"ReadSchema: struct<([^>]*)>", plan):
+    # Scans of the given tables; what a query itself writes between its steps it reads whole.
+    given = [line for line in plan.splitlines() if "FileScan" in line and SF001 in line]
+    assert given or name in WRITES_FIRST
+    for schema in re.findall(r"ReadSchema: struct<([^>]*)>", "\n".join(given)):
         cols = schema.split(",")
         assert len(cols) <= 4, schema
         assert not any(c.startswith(("o_comment", "c_name", "c_acctbal", "props")) for c in cols)
