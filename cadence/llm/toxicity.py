@@ -36,7 +36,7 @@ DECAY, REACH = 0.7, 4
 NEAR = 0.5  # sentences with a word of such a kernel value are trained on
 LONGEST = 32  # longer words are read in overlapping windows
 CACHED_WORDS = 600_000
-BLOCK = 4_096  # words at a time in training
+BLOCK = 4_096  # words at a time, in training and in scoring
 CHUNK_CHARS = 4 << 20
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„’…–—"
 SENTENCES = re.compile(r"[\n\r]+|(?<=[.!?])\s+").split
@@ -173,6 +173,10 @@ class Reader:
             self.dull.clear()
             self.telling.clear()
             new = list(tokens)
+        for lo in range(0, len(new), BLOCK):
+            self._learn(new[lo : lo + BLOCK])
+
+    def _learn(self, new: list[str]) -> None:
         words, owner = [], []
         for i, token in enumerate(new):
             for w in bare(token):
