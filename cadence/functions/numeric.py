@@ -1,11 +1,11 @@
-"""Exact numeric helpers.
-
-Spark's decimal division keeps as few as 6 fractional digits once operand
-precisions are large (sums of sums reach decimal(38,2)), so dividing and
-then rounding to 2 digits can round twice. Every ratio here first brings
-its operands to a bounded precision, which leaves the quotient 18 or more
-fractional digits; the final rounding (half away from zero, like
-PostgreSQL's ``round(numeric, n)``) is then exact.
+"""Exact numeric helpers, without a ceiling on totals.
+
+Amounts are whole cents per row and ``decimal(38,2)`` as totals. Ratios are
+rounded on whole numbers: the quotient and remainder of scaled operands, half
+away from zero, like PostgreSQL's ``round(numeric, n)``. No decimal division
+is rounded on the way, so nothing is rounded twice, and operands may have up to
+30 digits (Spark's own decimal division keeps as few as 6 fractional digits
+once operands are wide).
 """
 
 from __future__ import annotations
@@ -13,12 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
-# Operand types for exact division: quotient scale is >= 18.
-_NUM = "decimal(20,2)"
-_DEN = "decimal(18,2)"
-_INT_NUM = "decimal(20,0)"
-_INT_DEN = "decimal(18,0)"
+MONEY = "decimal(38,2)"
+WHOLE = "decimal(38,0)"
+# Cents are summed as two numbers, above and below a million.
+LIMB = 1_000_000
 
 
 def _c(x: str | Column) -> Column:
@@ -32,40 +30,62 @@ def cents(x: str | Column) -> Column:
     ``round(x, 2)`` on a double rounds the shortest decimal form of ``x``
     half up, as the decimal cast does; multiplying that 2-digit value by
     100 lands within an ulp of an integer, which the outer ``round``
-    recovers exactly (|x| < 9e13). Summing bigints avoids the decimal(28,2)
-    buffer of a decimal sum (arbitrary-precision arithmetic per row); an
-    overflow raises under ANSI mode instead of wrapping.
+    recovers exactly (|x| < 9e13). ``sum_cents`` adds them up.
     """
     return F.round(F.round(_c(x), 2) * 100).cast("bigint")
 
 
+def sum_cents(x: str | Column) -> Column:
+    """Aggregate: the exact sum of whole cents as decimal(38,0).
+
+    The millions and the rest are summed as bigints of their own, each in a
+    fixed-width buffer, so a total may pass a bigint's range (9.2e16 in money)
+    and still costs no decimal arithmetic per row."""
+    low = F.pmod(_c(x), F.lit(LIMB))
+    high = F.call_function("div", _c(x) - low, F.lit(LIMB))
+    return F.sum(high).cast(WHOLE) * F.lit(LIMB) + F.sum(low).cast(WHOLE)
+
+
 def from_cents(x: str | Column) -> Column:
-    """Whole cents back to decimal(18,2) (exact)."""
-    return (_c(x).cast("decimal(38,0)") / 100).cast(MONEY)
+    """Whole cents back to money (exact)."""
+    return (_c(x).cast(WHOLE) / 100).cast(MONEY)
+
+
+def _hundredths(x: str | Column) -> Column:
+    """100 * x as a whole number, for amounts, integers and counts."""
+    return (_c(x).cast("decimal(36,2)") * 100).cast(WHOLE)
 
 
-def div(num: str | Column, den: str | Column, integral: bool = False) -> Column:
-    """Exact decimal quotient; NULL when the divisor is zero or NULL."""
-    n_t, d_t = (_INT_NUM, _INT_DEN) if integral else (_NUM, _DEN)
-    return F.try_divide(_c(num).cast(n_t), _c(den).cast(d_t))
+def _rounded(num: Column, den: Column, digits: int) -> Column:
+    """round(num / den, digits) of whole numbers, half away from zero, as
+    double; NULL when the divisor is zero or NULL."""
+    n, d = num * F.lit(10**digits), F.nullif(den, F.lit(0))
+    doubled, twice = F.abs(n) * 2 + F.abs(d), F.abs(d) * 2
+    # An exact multiple: the division leaves nothing to round.
+    size = ((doubled - doubled % twice) / twice).cast(WHOLE)
+    signed = F.when((n < 0) != (d < 0), -size).otherwise(size)
+    return (signed / F.lit(10**digits)).cast("double")
 
 
 def round_div(
     num: str | Column, den: str | Column, digits: int, integral: bool = False
 ) -> Column:
-    """``round(num / den, digits)`` computed exactly, returned as double."""
-    return F.round(div(num, den, integral), digits).cast("double")
+    """``round(num / den, digits)`` computed exactly, returned as double.
+    ``integral`` says that both are whole numbers; amounts have two digits."""
+    if integral:
+        return _rounded(_c(num).cast(WHOLE), _c(den).cast(WHOLE), digits)
+    return _rounded(_hundredths(num), _hundredths(den), digits)
 
 
 def round_pct_change(num: str | Column, den: str | Column, digits: int = 2) -> Column:
     """``round((num / den - 1) * 100, digits)`` as double, exact."""
-    n, d = _c(num).cast(_DEN), _c(den).cast(_DEN)
-    return F.round(div((n - d) * 100, d), digits).cast("double")
+    n, d = _hundredths(num), _hundredths(den)
+    return _rounded((n - d) * 100, d, digits)
 
 
 def round_share(part: str | Column, whole: str | Column, digits: int = 2) -> Column:
     """``round(part * 100 / whole, digits)`` as double, exact."""
-    return F.round(div(_c(part).cast(_DEN) * 100, whole), digits).cast("double")
+    return _rounded(_hundredths(part) * 100, _hundredths(whole), digits)
 
 
 def round_money(x: str | Column, digits: int = 2) -> Column:

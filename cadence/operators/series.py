@@ -56,7 +56,7 @@ def rollup(
     value_col: str = "sales",
     ordered: bool = False,
 ) -> DataFrame:
-    """Total per period (and per category), exact decimal(18,2)."""
+    """Total per period (and per category), exact money."""
     src = series if categories is None else series.where(F.col(cat).isin(list(categories)))
     key, key_name = _period_key(period, month)
     keys = [key] + ([F.col(cat)] if by_category else [])

@@ -15,8 +15,8 @@ AY, BY, OY = f"{a}_yearly_sales", f"{b}_yearly_sales", f"{one}_yearly_sales"
 
 
 def money(c: str) -> str:
-    """Cents as decimal(18,2)."""
-    return f"CAST(CAST({c} AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(18,2))"
+    """Cents as decimal(38,2)."""
+    return f"CAST(CAST({c} AS DECIMAL(36,0)) * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(38,2))"
 
 
 def dbl(c: str) -> str:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadence.functions.numeric import cents, from_cents
+from cadence.functions.numeric import cents, from_cents, sum_cents
 
 # Physical schemas of the driver tables that the operators read.
 SCHEMAS: dict[str, T.StructType] = {
@@ -115,8 +115,8 @@ def long_series(
     bounds are compared with the raw order date, so they reach the scan.
 
     Amounts are summed exactly in whole cents (``numeric.cents``, equal to
-    casting to decimal(18,2) first), so sums do not depend on the order
-    partial sums are combined in.
+    casting to decimal(18,2) first; ``numeric.sum_cents``), so sums do not
+    depend on the order partial sums are combined in, and have no ceiling.
 
     Plan: orders join customers on the key, then aggregate to (month,
     segment) with map-side partial aggregation, so only the small result
@@ -146,5 +146,5 @@ def long_series(
     return (
         amounts.join(segments, "custkey")
         .groupBy("sales_month", "kind_of_business")
-        .agg(from_cents(F.sum("amount")).alias("sales"))
+        .agg(from_cents(sum_cents("amount")).alias("sales"))
     )

@@ -136,3 +136,54 @@ def test_exact_ratio_rounding_matches_decimal(spark, pairs):
         assert r["r"] == _q(n / d, 2)
         assert r["p"] == _q((n - d) * 100 / d, 2)
         assert r["s"] == _q(n * 100 / d, 2)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_totals_have_no_ceiling(spark, ansi):
+    """Totals far above 1e16, and past a bigint of cents, stay exact through sums, ratios and shares."""
+    from cadence.operators import growth, rolling, series
+
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = spark.range(0, 30_000, 1, 4).select(
+            F.make_date((F.col("id") % 2 + 2000).cast("int"), (F.col("id") % 3 + 1).cast("int"), F.lit(1)).alias("sales_month"),
+            num.cents(F.lit(89_999_999_999_999.25) - F.col("id") % 7).alias("c"),
+        )
+        cents = [8_999_999_999_999_925 - i % 7 * 100 for i in range(30_000)]
+        total = rows.agg(num.sum_cents("c").alias("t")).first()["t"]
+        assert int(total) == sum(cents) > 2**63
+        months = rows.groupBy("sales_month").agg(num.from_cents(num.sum_cents("c")).alias("sales"))
+        months = months.withColumn("kind_of_business", F.lit("a")).cache()
+        exact = {}
+        for i, c in enumerate(cents):
+            key = (2000 + i % 2, i % 3 + 1)
+            exact[key] = exact.get(key, 0) + c
+        want = {k: Decimal(v) / 100 for k, v in exact.items()}
+        got = {(r["sales_month"].year, r["sales_month"].month): r["sales"] for r in months.collect()}
+        assert got == want and min(want.values()) > Decimal(10) ** 16
+
+        yearly = {r["sales_year"]: r["sales"] for r in series.rollup(months, "year").collect()}
+        assert yearly == {y: sum(v for k, v in want.items() if k[0] == y) for y in (2000, 2001)}
+        pair = series.pivot_categories(months, {"x": "a"}, "month").withColumn("y_monthly_sales", F.col("x_monthly_sales") * 3)
+        panel = series.panel(pair.select("sales_month", "x_monthly_sales", F.col("y_monthly_sales").cast(num.MONEY)), "x", "y")
+        for r in panel.collect():
+            key = (r["sales_month"].year, r["sales_month"].month)
+            assert r["x_monthly_sales"] == want[key] and r["y_x_sales_diff"] == 2 * want[key]
+            assert r["y_to_x_sales_ratio"] == 3.0 and r["x_pctage_of_total"] == 25.0
+            assert r["total_x_sales_ytd"] == sum(v for k, v in want.items() if k[0] == key[0] and k[1] <= key[1])
+            of_year = (want[key] * 100 / yearly[key[0]]).quantize(Decimal("0.01"), ROUND_HALF_UP)
+            assert r["x_pctage_of_yearly_sales"] == float(of_year)
+        moved = {r["sales_month"]: r for r in rolling.moving_average(months, {"s": "sales"}, rows=2).collect()}
+        order = sorted(want)
+        for before, key in zip(order, order[1:]):
+            mean = ((want[before] + want[key]) / 2).quantize(Decimal("0.01"), ROUND_HALF_UP)
+            assert moved[dt.date(*key, 1)]["ss_2_month_moving_average"] == float(mean)
+        grown = growth.same_period_last_year(months, "sales").where("prev_years_month_sales is not null").collect()
+        assert len(grown) == 3
+        for r in grown:
+            a, b = r["sales"], r["prev_years_month_sales"]
+            assert r["absolute_diff"] == a - b
+            assert r["pct_diff"] == float(((a - b) * 100 / b).quantize(Decimal("0.01"), ROUND_HALF_UP))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
