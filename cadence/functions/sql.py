@@ -8,6 +8,8 @@ Python runs per row):
   ``date_part('year', age(later, earlier))``
 * ``age_months(later, earlier)``  completed months (years * 12 + months of
   the same interval)
+* ``age_parts(later, earlier)``   the difference as a struct of years, months
+  and days, PostgreSQL's ``age(later, earlier)``
 * ``date_century(d)``             PostgreSQL's ``date_part('century', d)``
 * ``month_name_padded(d)``        ``to_char(d, 'Month')``
 
@@ -41,7 +43,20 @@ def _age(unit: str) -> str:
     )
 
 
+_LO, _HI = "least(later, earlier)", "greatest(later, earlier)"
+_SHORT = f"CASE WHEN day({_HI}) < day({_LO}) THEN 1 ELSE 0 END"
+_MONTHS = f"((year({_HI}) - year({_LO})) * 12 + month({_HI}) - month({_LO}) - {_SHORT})"
+_SIGN = "CASE WHEN later < earlier THEN -1 ELSE 1 END"
+_AGE_PARTS = (
+    "(later DATE, earlier DATE) RETURNS STRUCT<years: BIGINT, months: BIGINT, days: BIGINT> RETURN "
+    "CASE WHEN later IS NOT NULL AND earlier IS NOT NULL THEN named_struct("
+    f"'years', CAST(({_SIGN}) * ({_MONTHS} div 12) AS BIGINT), "
+    f"'months', CAST(({_SIGN}) * ({_MONTHS} % 12) AS BIGINT), "
+    f"'days', CAST(({_SIGN}) * (day({_HI}) - day({_LO}) + ({_SHORT}) * day(last_day({_LO}))) AS BIGINT)) END"
+)
+
 FUNCTIONS = {
+    "age_parts": _AGE_PARTS,
     "age_years": _age("year"),
     "age_months": _age("month"),
     "date_century": "(d DATE) RETURNS BIGINT RETURN CAST(floor((year(d) + 99) / 100) AS BIGINT)",

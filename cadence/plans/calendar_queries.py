@@ -1,20 +1,31 @@
 """Registered queries over calendars: intervals joined to any dates, trailing
-ranges on daily spines, windows over long series."""
+ranges on daily spines, windows over long series, and results from kept
+state, kept views and laid-out histories."""
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence.functions import calendar as cal
+from cadence.functions.age import age
 from cadence.functions.numeric import cents
+from cadence.operators import cohort as co
 from cadence.operators import deltas as de
+from cadence.operators import growth as gr
 from cadence.operators import intervals as iv
 from cadence.operators import long_windows as lw
 from cadence.operators import maintained as mt
+from cadence.operators import series as se
 from cadence.plans import analogs as A
+from cadence.plans import kept_views
+from cadence.sources import layout
 from cadence.sources import tables as src
 from cadence.sources.date_dim import date_dim
+from cadence.sources.staging import staged, staging_dir
 
 E, S, END = "id_bioguide", "term_start", "term_end"
 
@@ -152,6 +163,67 @@ def retention_rolled_up(spark: SparkSession, d: str) -> DataFrame:
     return how.counts(mt.Kept(kept.entities, sets, kept.retired), by=["first_year", "period"])
 
 
+def membership_age(spark: SparkSession, d: str) -> DataFrame:
+    """Per entity the time from its first start to its last end, as years, months and days."""
+    span = _terms(spark, d).groupBy(E).agg(F.min(S).alias("first"), F.max(END).alias("last"))
+    return span.select(E, "first", "last", age("last", "first").alias("a")).select(E, "first", "last", "a.*")
+
+
+def _kept_view(spark: SparkSession, d: str) -> kept_views.MonthlyView:
+    """The series of the analyses as a kept view: built from most orders, the rest
+    added as a batch, one year refreshed from the source."""
+    segments = src.read_table(spark, d, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("kind_of_business")
+    )
+    orders = src.read_table(spark, d, "orders").select("o_custkey", "o_orderdate", cents("o_totalprice").alias("amount"))
+    rows = orders.join(segments, "o_custkey").select("o_orderdate", "amount", "kind_of_business")
+    late = (F.col("amount") % 4 == 0) & (F.year("o_orderdate") >= 1999)
+    view = kept_views.MonthlyView(spark, f"{staging_dir(spark)}/monthly-{uuid.uuid4().hex}")
+    view.build(rows.where(~late), "o_orderdate", "amount")
+    view.add(rows.where(late), "o_orderdate", "amount")
+    view.refresh(rows, "o_orderdate", "amount", [dt.date(1996, m, 1) for m in range(1, 13)])
+    return view
+
+
+def growth_of_kept_view(spark: SparkSession, d: str) -> DataFrame:
+    return gr.growth(_kept_view(spark, d).series(), "sales", digits=2, keys=["kind_of_business"])
+
+
+def extremes_of_kept_view(spark: SparkSession, d: str) -> DataFrame:
+    label = A.LABEL_SINGLE
+    one = se.pivot_categories(_kept_view(spark, d).series(), {label: A.CAT_SINGLE}, "month", restrict=False)
+    return gr.extremes(gr.same_period_last_year(one, f"{label}_monthly_sales"), "pct_diff")
+
+
+def _at(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A table's name and place, new with each call."""
+    made = f"{name}_{uuid.uuid4().hex}"
+    return made, f"{staging_dir(spark)}/{made}"
+
+
+def retention_by_dimension_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """R14 over bucketed tables: history and dimension meet bucket by bucket."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    terms = layout.write_bucketed(_terms(spark, d), *_at(spark, "terms"), E, buckets)
+    dimension = layout.write_bucketed(src.entity_dimension(spark, d), *_at(spark, "dimension"), E, buckets)
+    counts = co.interval_retention_counts(terms, E, S, END, ["gender"], dimension=dimension, dimension_cols=["gender"])
+    return co.retention_curve(
+        counts, by=["gender"], size_col="cohort_size_by_gender", pct_col="pct_retained_by_gender", digits=None
+    )
+
+
+def retention_from_pruned_years(spark: SparkSession, d: str) -> DataFrame:
+    """Retention of the cohorts of some years from a history by year and kept first
+    dates: rows from before the cohorts' range are never read."""
+    terms = _terms(spark, d)
+    path = _at(spark, "history")[1]
+    layout.write_by_year(terms, path, S, E)
+    firsts = mt.first_dates(terms, E, S).where(F.col("first").between(cal.lit_date(A.COHORT_FROM), cal.lit_date(A.COHORT_TO)))
+    later = layout.read_by_year(spark, path, terms.schema, first=A.COHORT_FROM, start=S)
+    chosen = later.join(staged(firsts, "firsts").select(E), E, "left_semi")
+    return co.interval_retention_counts(chosen, E, S, END)
+
+
 QUERIES = {
     "retention_december_31": retention_december_31,
     "retention_month_ends": retention_month_ends,
@@ -166,4 +238,9 @@ QUERIES = {
     "retention_kept_up": retention_kept_up,
     "interval_retention_kept_up": interval_retention_kept_up,
     "retention_rolled_up": retention_rolled_up,
+    "membership_age": membership_age,
+    "growth_of_kept_view": growth_of_kept_view,
+    "extremes_of_kept_view": extremes_of_kept_view,
+    "retention_by_dimension_bucketed": retention_by_dimension_bucketed,
+    "retention_from_pruned_years": retention_from_pruned_years,
 }

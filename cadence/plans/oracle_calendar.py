@@ -2,6 +2,7 @@
 window frames by interval, and ``age()``."""
 
 from cadence.plans import analogs as A
+from cadence.plans import oracle_cohort, oracle_series
 from cadence.plans.oracle_cohort import whole_months, whole_years
 
 TERMS = """terms AS (
@@ -88,4 +89,18 @@ FROM calendar c LEFT JOIN terms t ON c.day BETWEEN t.begins AND t.ends GROUP BY
 FROM events s LEFT JOIN events p
   ON p.event_type = 'purchase' AND p.user_id = s.user_id AND p.ts BETWEEN s.ts AND s.ts + INTERVAL 3 DAY
 WHERE s.event_type = 'signup' GROUP BY s.user_id, s.event_id""",
+    "membership_age": f"""WITH {TERMS},
+    span AS (SELECT id, min(begins) AS first, max(ends) AS last FROM terms GROUP BY id),
+    aged AS (SELECT *, age(CAST(last AS TIMESTAMP), CAST(first AS TIMESTAMP)) AS a FROM span)
+SELECT id AS id_bioguide, first, last, date_part('year', a) AS years, date_part('month', a) AS months,
+       date_part('day', a) AS days
+FROM aged""",
+    "growth_of_kept_view": oracle_series.SQL["growth_by_segment"],
+    "extremes_of_kept_view": oracle_series.SQL["growth_extremes"],
+    "retention_by_dimension_bucketed": oracle_cohort.SQL["retention_by_dimension"],
+    "retention_from_pruned_years": f"""WITH {TERMS}, {DAYS}
+SELECT CAST(coalesce({whole_years('d.day', 'o.opened')}, 0) AS BIGINT) AS period, count(DISTINCT t.id) AS cohort_retained
+FROM terms t JOIN opening o USING (id)
+LEFT JOIN days d ON d.day BETWEEN t.begins AND t.ends AND month(d.day) = 12 AND day(d.day) = 31
+WHERE o.opened BETWEEN DATE '{A.COHORT_FROM}' AND DATE '{A.COHORT_TO}' GROUP BY 1""",
 }

@@ -18,6 +18,10 @@ WRITES_FIRST = {
     "retention_kept_up",
     "interval_retention_kept_up",
     "retention_rolled_up",
+    "growth_of_kept_view",
+    "extremes_of_kept_view",
+    "retention_by_dimension_bucketed",
+    "retention_from_pruned_years",
 }
 
 
