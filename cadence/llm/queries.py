@@ -62,8 +62,9 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     """Machine trained on the labelled documents outside the held-out part."""
     labels = table(spark, sf_dir, "labels").where("toxic is not null").select("doc_id", F.col("toxic").alias("toxic_"))
     labels = labels.where(~langid.held_out(F.col("doc_id"), 4, 2))
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("text_"))
-    return toxicity.train(docs.join(labels, "doc_id").withColumnRenamed("doc_id", "id_"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id_"), F.col("text").alias("text_"))
+    labelled = docs.select("id_").join(labels.withColumnRenamed("doc_id", "id_"), "id_")
+    return toxicity.train(labelled, texts=docs)
 
 
 TOXIC_AT = 0.3

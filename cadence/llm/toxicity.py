@@ -256,17 +256,26 @@ def _logistic(a: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def train(labelled: DataFrame, bounds: Bounds = Bounds()) -> Model:
+def train(labelled: DataFrame, bounds: Bounds = Bounds(), texts: DataFrame | None = None) -> Model:
     """Fit on rows (``id_``, ``text_``, ``toxic_`` 0 or 1) without nulls in
     ``toxic_``. Where a label has more than ``docs_per_label`` rows, those are
     taken whose id hashes below its share. Without both labels every text
-    gets the share of label 1."""
+    gets the share of label 1.
+
+    With ``texts`` (``id_``, ``text_``), ``labelled`` need not have texts: the
+    sample is chosen first, and only its few ids go to the texts."""
     sizes = {r["toxic_"]: r["n"] for r in labelled.groupBy("toxic_").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(1.0)
     for label, n in sizes.items():
         share = F.when(F.col("toxic_") == label, F.lit(min(1.0, bounds.docs_per_label / n))).otherwise(share)
     chosen = F.pmod(F.xxhash64(F.lit(11), F.col("id_")), F.lit(1 << 30)) < F.floor(share * (1 << 30))
-    sample = written(labelled.where(chosen).select("id_", "text_", "toxic_"), "labelled")
+    picked = labelled.where(chosen)
+    if texts is None:
+        sample = written(picked.select("id_", "text_", "toxic_"), "labelled")
+    else:
+        # About ``docs_per_label`` ids a label, whatever the tables' sizes are.
+        ids = written(picked.select("id_", "toxic_").distinct(), "sample")
+        sample = written(texts.join(F.broadcast(ids), "id_").select("id_", "text_", "toxic_"), "labelled")
     rate = sizes.get(1, 0) / max(1, sum(sizes.values()))
     none = Model(Kernel(()), np.zeros(0), 0.0, (0.0, 0.0, 0.0, math.log((rate + 1e-3) / (1 - rate + 1e-3))))
     if not sizes.get(0) or not sizes.get(1):
