@@ -12,13 +12,13 @@ travels to the tasks. Every text is scored whole.
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 
 from .common import Shared, col, fresh, written
 
-LETTERS = re.compile(r"[^\W\d_]+").findall
+LETTERS = regex.compile(r"\p{L}+").findall
 STEP = math.log(0.4)  # cost of each step to shorter n-grams
 CACHED_WORDS = 500_000
 
@@ -34,11 +34,9 @@ CACHED_WORDS = 500_000
 @dataclass(frozen=True)
 class Bounds:
     docs_per_lang: int = 1_500
-    chars_per_doc: int = 20_000  # of a training text; scoring has no such bound
-    words_per_lang: int = 15_000
-    grams_per_lang: int = 10_000  # of each length
+    words_per_lang: int | None = 15_000  # None: all that the sample holds
+    grams_per_lang: int | None = 10_000  # of each length; None: all
     longest_gram: int = 5
-    langs_sent: int = 1_000  # languages whose sizes travel to the texts; beyond, texts are joined to them by shuffle
 
 
 @dataclass(frozen=True)
@@ -115,10 +113,8 @@ def _logs(rows: list, langs: list[str], key: str) -> dict[str, tuple[float, ...]
 def train(labelled: DataFrame, bounds: Bounds = Bounds()) -> Model:
     """Fit on rows (``id_``, ``text_``, ``lang_``) without nulls in text or
     lang. Where a language has more than ``docs_per_lang`` rows, those are
-    taken whose id hashes below its share."""
+    taken whose id hashes below its share; their texts are read whole."""
     sizes = written(labelled.groupBy("lang_").agg(F.count(F.lit(1)).alias("rows_")), "sizes")
-    if sizes.limit(bounds.langs_sent + 1).count() <= bounds.langs_sent:
-        sizes = F.broadcast(sizes)
     below = F.pmod(F.xxhash64(F.lit(7), F.col("id_")), F.lit(1 << 30)) < F.floor(
         F.lit(float(1 << 30)) * bounds.docs_per_lang / F.col("rows_")
     )
@@ -126,11 +122,7 @@ def train(labelled: DataFrame, bounds: Bounds = Bounds()) -> Model:
     words = written(
         sample.select(
             "lang_",
-            F.explode(
-                F.regexp_extract_all(
-                    F.lower(F.substring("text_", 1, bounds.chars_per_doc)), F.lit(r"(\p{L}+)"), 1
-                )
-            ).alias("word"),
+            F.explode(F.regexp_extract_all(F.lower("text_"), F.lit(r"(\p{L}+)"), 1)).alias("word"),
         )
         .groupBy("lang_", "word")
         .agg(F.count(F.lit(1)).alias("n")),
@@ -138,7 +130,9 @@ def train(labelled: DataFrame, bounds: Bounds = Bounds()) -> Model:
     )
     langs = sorted(r["lang_"] for r in words.select("lang_").distinct().collect())
 
-    def top(counts: DataFrame, by: list[str], key: str, n: int) -> list:
+    def top(counts: DataFrame, by: list[str], key: str, n: int | None) -> list:
+        if n is None:
+            return counts.collect()
         # Rows here are distinct words or n-grams of the bounded sample.
         order = Window.partitionBy(*by).orderBy(F.col("n").desc(), F.col(key))
         return counts.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= n).collect()
