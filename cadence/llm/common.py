@@ -88,6 +88,10 @@ class Shared:
             kept[self.token] = self.make(cloudpickle.loads(self.sent.value))
         return kept[self.token]
 
+    def close(self) -> None:
+        """Free the value once everything that reads it is written."""
+        self.sent.destroy()
+
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

@@ -46,9 +46,12 @@ def test_jaccard_join_equals_brute_force(spark, docs):
     assert sorted(map(tuple, got), key=str) == components([(r[0], r[1]) for r in rows()])
 
 
-@pytest.mark.parametrize("large", [2, 32])
-def test_jaccard_join_on_clusters(spark, large, monkeypatch):
-    monkeypatch.setattr(near_dup, "LARGE", large)
+@pytest.mark.parametrize("block", [50, 1 << 20])
+@pytest.mark.parametrize("pivots", [0, 3])
+def test_jaccard_join_on_clusters(spark, block, pivots, monkeypatch):
+    """Also in small blocks, and with all links left to the neighbourhoods."""
+    monkeypatch.setattr(near_dup, "BLOCK_ELEMENTS", block)
+    monkeypatch.setattr(near_dup, "PIVOTS", pivots)
     rng = np.random.default_rng(3)
     texts = []
     for c in range(6):
@@ -58,6 +61,16 @@ def test_jaccard_join_on_clusters(spark, large, monkeypatch):
             for _ in range(int(rng.integers(0, 4))):
                 w[int(rng.integers(len(w)))] = f"t{rng.integers(400)}"
             texts.append((len(texts), " ".join(w)))
+    # Copies near the threshold to one another, and texts put together from common passages.
+    base = [f"t{i}" for i in range(90)]
+    for _ in range(25):
+        w = list(base)
+        for _ in range(int(rng.integers(1, 5))):
+            w[int(rng.integers(len(w)))] = f"u{rng.integers(9)}"
+        texts.append((len(texts), " ".join(w)))
+    passages = [" ".join(f"p{k}x{i}" for i in range(12)) for k in range(6)]
+    for _ in range(25):
+        texts.append((len(texts), " ".join(passages[k] for k in rng.choice(6, int(rng.integers(1, 6)), replace=False))))
     df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(3)
     got = near_dup.link(df).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, got), key=str) == components(texts)
