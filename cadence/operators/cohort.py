@@ -258,31 +258,30 @@ def interval_retention_counts(
     entity key; entities without a dimension row drop out).
     ``cohort_from``/``cohort_to`` restrict cohorts by first start date.
 
-    One scan of the history: every interval is exploded to the years it
-    covers (an interval covering none keeps one NULL-year row) and reduced
-    map-side to one row per (entity, year) carrying the smallest start and
-    first row seen. Every interval lands in some (entity, year) row, so a
-    window over the entity's rows -- at most one per calendar year plus
-    one, however many intervals the entity has -- yields its first start
-    and first attribute without a self-join.
+    Every interval is exploded to the years it covers (one covering none
+    keeps one NULL-year row) and reduced map-side, in a hash aggregate, to one
+    row per (entity, year) with the smallest start. Every interval lands in
+    some (entity, year) row, so a window over the entity's rows -- at most one
+    per calendar year plus one, however many intervals the entity has --
+    yields its first start without a self-join. A first attribute comes from
+    the unexploded rows, reduced to one row per entity, and joins by entity,
+    as which both sides are already partitioned.
     """
     if attribute is not None and tiebreak is None:
         raise ValueError("a unique tiebreak column is required with an attribute")
     attr_col = attr_col or (f"first_{attribute}" if attribute else None)
     h = history.where(F.col(entity).isNotNull())
     years = cal.covered_years(F.col(start), F.col(end), spine_from, spine_to)
-    carried = [start] + ([tiebreak, attribute] if attribute else [])
-    aggs = [F.min(start).alias("_min_start")]
-    if attribute:
-        aggs.append(
-            F.min(F.struct(F.col(start).isNull(), F.col(start), F.col(tiebreak), F.col(attribute))).alias("_min_row")
-        )
-    per_year = h.select(entity, *carried, F.explode_outer(years).alias("_y")).groupBy(entity, "_y").agg(*aggs)
+    # Fixed-width buffers only over the exploded rows: a hash aggregate.
+    per_year = h.select(entity, start, F.explode_outer(years).alias("_y")).groupBy(entity, "_y").agg(
+        F.min(start).alias("_min_start")
+    )
     w = Window.partitionBy(entity)
-    cols = [F.col(entity), F.col("_y"), F.min("_min_start").over(w).alias(first_col)]
+    timeline = per_year.select(entity, "_y", F.min("_min_start").over(w).alias(first_col))
     if attribute:
-        cols.append(F.min("_min_row").over(w)[attribute].alias(attr_col))
-    timeline = per_year.select(*cols)
+        # The first row's attribute comes from the rows before they are exploded, one row per entity.
+        firsts = first_attribute(h, entity, start, attribute, tiebreak, "_first", attr_col)
+        timeline = timeline.join(firsts.select(entity, attr_col), entity)
     if cohort_from is not None or cohort_to is not None:
         cond = F.lit(True)
         if cohort_from is not None:
