@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import col, fresh, written
+from .common import col, compact, fresh, written
 
 PRIME = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
@@ -134,7 +134,7 @@ def remove_repeated(
         "chunks",
     )
     place = F.struct(F.col("id_").isNull().alias("n"), "id_", "uid_", "a")
-    repeated = written(
+    repeated = compact(
         places.groupBy("h")
         .agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("first"))
         .where("times > 1")

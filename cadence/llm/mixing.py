@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import col, fresh, with_prefix, word_count, written
+from .common import col, compact, fresh, with_prefix, word_count, written
 
 
 def apportion(parts: DataFrame) -> DataFrame:
@@ -160,7 +160,7 @@ def mix(
         .withColumn(turn, F.xxhash64(F.lit(seed), col(doc_id), col(source)))
         .withColumn(shard, F.pmod(F.xxhash64(F.lit(seed + 1), F.col(turn)), F.col(n_shards)))
     )
-    shards = written(
+    shards = compact(
         dealt.groupBy(no, shard).agg(F.sum("size").alias("weight")).where("weight > 0"), "shards"
     ).select(F.col(no).alias("grp"), F.col(shard).alias("key"), "weight")
     all_words = targets.agg(F.sum("target").alias("t")).first()["t"] or 0.0

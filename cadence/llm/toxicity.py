@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from .common import Shared, col, fresh, written
+from .common import Shared, col, compact, fresh, written
 
 DECAY, REACH = 0.7, 4
 NEAR = 0.5  # sentences with a word of such a kernel value are trained on
@@ -274,7 +274,7 @@ def train(labelled: DataFrame, bounds: Bounds = Bounds(), texts: DataFrame | Non
         sample = written(picked.select("id_", "text_", "toxic_"), "labelled")
     else:
         # About ``docs_per_label`` ids a label, whatever the tables' sizes are.
-        ids = written(picked.select("id_", "toxic_").distinct(), "sample")
+        ids = compact(picked.select("id_", "toxic_").distinct(), "sample")
         sample = written(texts.join(F.broadcast(ids), "id_").select("id_", "text_", "toxic_"), "labelled")
     rate = sizes.get(1, 0) / max(1, sum(sizes.values()))
     none = Model(Kernel(()), np.zeros(0), 0.0, (0.0, 0.0, 0.0, math.log((rate + 1e-3) / (1 - rate + 1e-3))))
@@ -282,7 +282,7 @@ def train(labelled: DataFrame, bounds: Bounds = Bounds(), texts: DataFrame | Non
         return none
     used = {r["toxic_"]: r["n"] for r in sample.groupBy("toxic_").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = used.get(1, 0), used.get(0, 0)
-    words = written(
+    words = compact(
         sample.select(
             "toxic_",
             F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text_"), F.lit(r"(\p{L}{3,32})"), 1))).alias("word"),
