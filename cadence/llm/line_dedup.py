@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import col, compact, fresh, written
+from .common import col, compact, fresh, tidy, written
 
 PRIME = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
@@ -94,6 +94,7 @@ def remove_repeated(
     rows = docs.select(*[col(c) for c in keep]).withColumn(uid, F.monotonically_increasing_id())
     id_field = StructField("id_", docs.schema[doc_id].dataType)
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at: list[int] = []
@@ -149,6 +150,7 @@ def remove_repeated(
     )
     joined = written(rows.join(mine, rows[uid] == mine[owner], "left").drop(owner), "marked")
 
+    @tidy
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             met = set()
@@ -179,6 +181,7 @@ def remove_repeated(
         joined = joined.drop(ranges).join(good, F.col(uid) == F.col(owner), "left").drop(owner)
     going = F.transform(F.filter(F.col(ranges), lambda s: s["go"]), lambda s: F.struct(s["a"], s["b"]))
 
+    @tidy
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bodies, counts = [], []

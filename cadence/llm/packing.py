@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from .common import Shared, col, worker_state, written
+from .common import Shared, col, tidy, worker_state, written
 
 # Bounds of one worker's caches and of one batch of output ids.
 CACHED_WORDS = 600_000
@@ -109,6 +109,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", te
     ``ids`` (little-endian, 2 or 4 bytes each as the vocabulary needs)."""
     id_type = docs.schema[doc_id].dataType
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, part, place = tokenizer_at(path), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype=tok.width).tobytes()
@@ -183,6 +184,7 @@ def pack(
     placed = tokens.select("doc_id", "part", "place", "doc_tokens", "ids")
     id_field = StructField("doc_id", docs.schema[doc_id].dataType)
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         offsets = sent.get()
         for batch in batches:
